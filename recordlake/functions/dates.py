@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 EPOCH = "1960-01-01"
 FIRST_DAY = -715509
 LAST_DAY = 2936549
+WHOLE_NUMBER = r"^\s*[+-]?[0-9]+\s*$"
 
 
 def day_number_to_date(days: Column, text: bool = False) -> Column:
@@ -18,12 +19,16 @@ def day_number_to_date(days: Column, text: bool = False) -> Column:
     the years 1 to 9999 give NULL. Set ``text`` when the input is a string:
     text that is no whole number then gives NULL, and the literal ``'null'``
     stands for day 0.
+
+    Unfit values are ruled out before the cast, since a failing ``try_cast``
+    costs an exception per value.
     """
-    number = days.try_cast("int")
     if text:
-        number = F.when(days == "null", F.lit(0)).otherwise(number)
-    in_range = number.between(FIRST_DAY, LAST_DAY)
-    return F.when(in_range, F.date_add(F.lit(EPOCH).cast("date"), number))
+        days = F.when(days == "null", F.lit(0)).when(
+            days.rlike(WHOLE_NUMBER), days.try_cast("bigint")
+        )
+    in_range = (days > FIRST_DAY - 1) & (days < LAST_DAY + 1)
+    return F.when(in_range, F.date_add(F.lit(EPOCH).cast("date"), days.cast("int")))
 
 
 def date_to_day_number(date: Column) -> Column:

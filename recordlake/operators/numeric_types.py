@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from recordlake.functions.columns import col, columns_with_dtype
 
-# The names that recommendations use, and the int limit.
+# The names that recommendations use, the int limit and 2**63.
 INT_TYPE = "IntegerType"
 LONG_TYPE = "LongType"
 KEEP_TYPE = "double"
 INT_LIMIT = 2147483647
+LONG_BOUND = 9223372036854775808.0
 _SQL_TYPES = {INT_TYPE: "int", LONG_TYPE: "bigint"}
 
 
@@ -35,8 +36,12 @@ def recommend_numeric_types(
     checks = []
     for i, name in enumerate(columns):
         value = col(name)
-        whole = value.try_cast("bigint")
-        is_other = value.isNotNull() & (whole.isNull() | (whole.cast("double") != value))
+        is_other = (
+            F.isnan(value)
+            | (F.rint(value) != value)
+            | (value >= LONG_BOUND)
+            | (value < -LONG_BOUND)
+        )
         checks.append(F.coalesce(F.bool_or(is_other), F.lit(False)).alias(f"other{i}"))
         checks.append(F.max(F.abs(value)).alias(f"greatest{i}"))
     proposals = [

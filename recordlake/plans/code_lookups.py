@@ -36,7 +36,9 @@ def read_code_tables(
 ) -> dict[str, DataFrame]:
     """The exported code tables by name. All columns are strings."""
     return {
-        name: read_delimited(spark, f"{path.rstrip('/')}/lookup={name}")
+        name: read_delimited(
+            spark, f"{path.rstrip('/')}/lookup={name}", schema="key string, value string"
+        )
         for name in names
     }
 

@@ -68,10 +68,15 @@ def read_default(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_delimited(
-    spark: SparkSession, path, sep: str = ",", header: bool = True
+    spark: SparkSession, path, sep: str = ",", header: bool = True, schema=None
 ) -> DataFrame:
-    """Read delimited text. Every column is a string: no inference, no extra scan."""
-    return spark.read.csv(path, sep=sep, header=header, inferSchema=False)
+    """Read delimited text. Without a schema every column is a string.
+
+    A schema saves the look at the header; it is checked against it, by name.
+    """
+    return spark.read.csv(
+        path, schema=schema, sep=sep, header=header, enforceSchema=schema is None
+    )
 
 
 def read_raw_rows(spark: SparkSession, path) -> DataFrame:

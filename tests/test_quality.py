@@ -1,0 +1,105 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from recordlake.operators import (
+    append_check_results,
+    date_agreement,
+    failed_checks,
+    join_preserves_rows,
+    key_checks,
+    lake_checks,
+    read_check_history,
+    require_all_passed,
+    same_table_checks,
+    sequence_completeness,
+    unique_in_partition,
+)
+from tests.helpers import plan, row_set, rows
+
+
+@pytest.fixture
+def lake(spark):
+    data = [(1, 1), (1, 2), (2, 1), (2, 1), (3, None), (3, None)]
+    return spark.createDataFrame(data, "m int, id int")
+
+
+def results(checks):
+    return {(r["check"], r["subject"]): (r["observed"], r["expected"], r["passed"])
+            for r in checks.collect()}
+
+
+def test_lake_checks(lake):
+    got = results(lake_checks(lake, ["m"], "id", 2, [{"m": i} for i in (1, 2, 3, 4)]))
+    assert got[("column_count", "m=4")] == (2, 2, True)
+    assert got[("not_empty", "m=1")] == (2, 2, True)
+    assert got[("not_empty", "m=4")] == (0, 1, False)
+    assert got[("unique_id", "m=1")] == (2, 2, True)
+    assert got[("unique_id", "m=2")] == (1, 2, False)
+    # NULL is one distinct value.
+    assert got[("unique_id", "m=3")] == (1, 2, False)
+    found = results(lake_checks(lake, ["m"], "id", 28))
+    assert len(found) == 9 and found[("column_count", "m=1")] == (2, 28, False)
+
+
+def test_uniqueness_is_spread_over_ids(lake):
+    text = plan(unique_in_partition(lake, ["m"], "id"))
+    assert "hashpartitioning(m" in text and text.count("Exchange hashpartitioning") == 2
+
+
+def test_join_preserves_rows(lake):
+    fanned = lake.unionAll(lake.where("m = 2")).where("m <> 3")
+    got = results(join_preserves_rows(lake, fanned, ["m"]))
+    assert got == {
+        ("rows_preserved", "m=1"): (2, 2, True),
+        ("rows_preserved", "m=2"): (4, 2, False),
+        ("rows_preserved", "m=3"): (0, 2, False),
+    }
+
+
+def test_key_checks(spark, lake):
+    good = spark.createDataFrame([("a",), ("b",)], "key string")
+    got = results(key_checks({"good": good, "bad": lake.select(F.col("id").alias("key"))}))
+    assert got == {
+        ("unique", "good"): (2, 2, True), ("non_null", "good"): (0, 0, True),
+        ("unique", "bad"): (3, 6, False), ("non_null", "bad"): (2, 0, False),
+    }
+
+
+def test_same_table(lake):
+    same = results(same_table_checks(lake, lake, "t"))
+    assert all(passed for _, _, passed in same.values()) and len(same) == 4
+    other = results(same_table_checks(lake, lake.select("id", "m").limit(1), "t"))
+    assert other[("same_column_set", "t")] == (2, 2, True)
+    assert other[("same_column_order", "t")] == (0, 2, False)
+    assert other[("same_row_count", "t")] == (1, 6, False)
+
+
+def test_date_agreement(spark):
+    df = spark.sql(
+        """select * from values (2016, 1, date'2016-01-31'), (2016, 2, date'2016-01-31'),
+           (2016, 1, null) as t(y, m, d)"""
+    )
+    assert results(date_agreement(df, "y", "m", "d")) == {("date_agreement", "d"): (2, 0, False)}
+
+
+def test_sequences(lake):
+    got = rows(sequence_completeness(lake, ["m"], "id"))
+    assert got[0] == (1, 1, 2, 2, True, True) and got[1] == (2, 1, 1, 2, True, False)
+
+
+def test_failures_are_raised_on_request(lake):
+    checks = unique_in_partition(lake, ["m"], "id")
+    with pytest.raises(ValueError, match="unique_id m=2: 1, expected 2"):
+        require_all_passed(checks)
+    require_all_passed(checks.where("subject = 'm=1'"))
+
+
+def test_history(spark, lake, out):
+    checks = unique_in_partition(lake, ["m"], "id")
+    append_check_results(checks, out, "r1")
+    append_check_results(checks, out, "r2", F.lit("2016-01-31 00:00:00").cast("timestamp"))
+    history = read_check_history(spark, out)
+    assert history.columns == ["run_id", "run_time", "check", "subject", "observed", "expected", "passed"]
+    assert row_set(failed_checks(history).groupBy("run_id").count()) == [("r1", 2), ("r2", 2)]

@@ -6,12 +6,16 @@ segments, order states and priorities are its coded attributes.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordlake.functions import cols, date_to_day_number
 from recordlake.operators import LookupSpec, enrich_with_lookups
-from recordlake.plans import visits
+from recordlake.plans import read_code_tables, visits
+from recordlake.scratch import scratch_path
+from recordlake.sources import write_csv_tables
 
 # Plain-text names of the code tables, as sections of a format text.
 LOOKUP_NAMES = ("i94addr", "i94cntyl", "i94mode", "i94port", "i94visa")
@@ -40,16 +44,15 @@ def dated_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def visit_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw visit record per order: 28 columns, numbers as doubles.
 
-    The customer gives the nation and the segment of a record. Both come by the
-    lookup join, which copes with a customer table of any size.
+    The customer gives the nation and the segment of a record, in one lookup join
+    that copes with a customer table of any size.
     """
-    customer = table(spark, sf_dir, "customer")
+    customer = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("key"),
+        F.struct("c_nationkey", "c_mktsegment").alias("value"),
+    )
     orders = enrich_with_lookups(
-        table(spark, sf_dir, "orders"),
-        [
-            LookupSpec("o_custkey", customer, "nation", key="c_custkey", value="c_nationkey"),
-            LookupSpec("o_custkey", customer, "segment", key="c_custkey", value="c_mktsegment"),
-        ],
+        table(spark, sf_dir, "orders"), [LookupSpec("o_custkey", customer, "buyer")]
     )
     date = F.col("o_orderdate").cast("date")
     day = date_to_day_number(date)
@@ -60,7 +63,7 @@ def visit_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         "cicid": F.col("o_orderkey"),
         "i94yr": F.year(date),
         "i94mon": F.month(date),
-        "i94cit": F.col("nation"),
+        "i94cit": F.col("buyer.c_nationkey"),
         "i94res": F.pmod("o_custkey", F.lit(30)),
         "arrdate": day,
         "i94mode": F.nullif(urgency, F.lit("5")),
@@ -72,10 +75,10 @@ def visit_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         "admnum": F.round(F.col("o_totalprice") * 100) * 1000,
     }
     texts = {
-        "i94port": F.substring("segment", 1, 3),
+        "i94port": F.substring("buyer.c_mktsegment", 1, 3),
         "i94addr": F.nullif(F.substring(priority, 3, 2), F.lit("LO")),
         "dtadfile": F.date_format(date, "yyyyMMdd"),
-        "visapost": F.substring("segment", 1, 3),
+        "visapost": F.substring("buyer.c_mktsegment", 1, 3),
         "occup": F.lit(None),
         "entdepa": status,
         "entdepd": F.nullif(status, F.lit("O")),
@@ -84,7 +87,7 @@ def visit_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         "dtaddto": F.date_format(F.date_add(date, 180), "MMddyyyy"),
         "gender": F.when(status == "F", "F").when(status == "P", "M"),
         "insnum": F.lit(None),
-        "airline": F.substring("segment", 1, 2),
+        "airline": F.substring("buyer.c_mktsegment", 1, 2),
         "fltno": F.lpad(F.col("o_custkey").cast("string"), 5, "0"),
         "visatype": F.concat(status, urgency),
     }
@@ -95,6 +98,17 @@ def visit_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def code_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The five lookups as stored CSV: derived once, read as often as needed."""
+    path = scratch_path(spark, "lookups")
+    derived = [
+        pairs.select(F.lit(name).alias("lookup"), "key", "value")
+        for name, pairs in derived_code_tables(spark, sf_dir).items()
+    ]
+    write_csv_tables(reduce(DataFrame.unionAll, derived), path, "lookup")
+    return read_code_tables(spark, path, LOOKUP_NAMES)
+
+
+def derived_code_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Five ``key, value`` lookups. Some codes of the records have no label, and
     one nation has a key that is no number."""
     nation = table(spark, sf_dir, "nation")
@@ -133,7 +147,7 @@ def write_code_text(spark: SparkSession, sf_dir: str, path: str) -> None:
     """
     ends = {s.name: s for s in visits.CODE_TABLES}
     parts = None
-    for i, (name, pairs) in enumerate(code_tables(spark, sf_dir).items()):
+    for i, (name, pairs) in enumerate(derived_code_tables(spark, sf_dir).items()):
         body = pairs.select(
             F.lit(i).alias("section"),
             F.lit(1).alias("part"),
