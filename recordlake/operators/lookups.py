@@ -117,8 +117,9 @@ def _label_large(
 
     The labels of the heavy codes, ``max_hot`` at most, are broadcast. The others
     come by a shuffled join. Rows that are settled without it, because their code
-    is heavy or NULL, pass through it under keys that match nothing and are
-    spread over the tasks by row content.
+    is heavy or NULL, pass through it under keys that match nothing and spread
+    them over the tasks. These keys come from the row and the task that read it:
+    copies of one row spread too, and a task that runs again gives the same keys.
     """
     lookup = spec.prepared()
     code, label = col(spec.code), spec.label_column
@@ -134,7 +135,9 @@ def _label_large(
     ).select("hot_code", col(label).alias("hot_label"))
 
     settled = code.isNull() | F.col("hot_code").isNotNull()
-    spread = F.pmod(F.xxhash64(*cols(df.columns)), F.lit(_SPREAD))
+    spread = F.pmod(
+        F.xxhash64(F.spark_partition_id(), *cols(df.columns)), F.lit(_SPREAD)
+    )
     shuffle_key = F.struct(
         F.when(~settled, code).alias("code"),
         F.when(settled, spread).otherwise(0).alias("spread"),

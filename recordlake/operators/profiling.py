@@ -5,16 +5,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recordlake.functions.columns import col
 from recordlake.operators.counts import value_counts
 
-_WHOLE_TYPES = ("tinyint", "smallint", "int", "bigint")
-_REAL_TYPES = ("float", "double")
-_TEXT_ORDER_TYPES = ("string", "boolean", "date")
-_ONE_SCAN_TYPES = _WHOLE_TYPES + _REAL_TYPES + _TEXT_ORDER_TYPES
+# Types whose columns are counted together, and the type they are counted as.
+_FAMILIES = {
+    "bigint": ("tinyint", "smallint", "int", "bigint"),
+    "double": ("double",),
+    "string": ("string", "boolean", "date"),
+}
 
 PROFILE_COLUMNS = ("column_name", "position", "value", "records")
 
@@ -32,47 +34,39 @@ def profile_value_counts(
     as text but ordered as what they are (9 before 10), NULL first. ``n`` counts
     values, it does not pick the most frequent ones.
 
-    All columns with few values are counted in a single scan. Near-unique ones
-    (ids) are named in ``near_unique`` and get a scan of that column alone, see
-    :func:`first_value_counts`.
+    Columns with few values are counted together, in one scan each for the whole
+    numbers, the doubles and the texts. Near-unique columns (ids) are named in
+    ``near_unique`` and get a scan of that column alone, see
+    :func:`first_value_counts`; so do columns of other types.
     """
     columns = list(columns or df.columns)
     types = dict(df.dtypes)
-    alone = set(near_unique)
-    together = [c for c in columns if c not in alone and types[c] in _ONE_SCAN_TYPES]
-    profiles = [
-        _single_profile(df, c, n, sample_fraction if c in alone else None)
-        for c in columns
-        if c not in together
-    ]
-    if together:
-        profiles.insert(0, _one_scan_profile(df, together, types, n))
+    profiles, alone = [], [c for c in columns if c in set(near_unique)]
+    rest = [c for c in columns if c not in alone]
+    for as_type, members in _FAMILIES.items():
+        family = [c for c in rest if types[c] in members]
+        rest = [c for c in rest if c not in family]
+        if family:
+            profiles.append(_family_profile(df, family, as_type, n))
+    profiles += [_single_profile(df, c, n, sample_fraction) for c in alone]
+    profiles += [_single_profile(df, c, n, None) for c in rest]
     return reduce(DataFrame.unionAll, profiles)
 
 
-def _one_scan_profile(
-    df: DataFrame, columns: Sequence[str], types: dict[str, str], n: int
+def _family_profile(
+    df: DataFrame, columns: Sequence[str], as_type: str, n: int
 ) -> DataFrame:
-    long = df.select(*[col(c).cast("string").alias(c) for c in columns]).unpivot(
+    long = df.select(*[col(c).cast(as_type).alias(c) for c in columns]).unpivot(
         [], [col(c) for c in columns], "column_name", "value"
     )
     counts = long.groupBy("column_name", "value").agg(F.count("*").alias("records"))
-
-    def number(of_types, as_type) -> Column:
-        names = [c for c in columns if types[c] in of_types]
-        return F.when(F.col("column_name").isin(names), F.col("value").try_cast(as_type))
-
     # row_number() <= n is applied per task before the shuffle by column, so one
     # task never gets more than n rows per column and upstream task.
-    in_order = Window.partitionBy("column_name").orderBy(
-        F.col("value").isNotNull(),
-        number(_WHOLE_TYPES, "bigint"),
-        number(_REAL_TYPES, "double"),
-        "value",
-    )
+    in_order = Window.partitionBy("column_name").orderBy("value")
     return (
         counts.withColumn("position", F.row_number().over(in_order))
         .where(F.col("position") <= n)
+        .withColumn("value", F.col("value").cast("string"))
         .select(*PROFILE_COLUMNS)
     )
 

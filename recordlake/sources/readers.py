@@ -103,9 +103,11 @@ def read_lines(spark: SparkSession, path) -> DataFrame:
     )
 
 
-def number_lines(lines: DataFrame) -> DataFrame:
+def number_lines(lines: DataFrame, keep_position: bool = False) -> DataFrame:
     """Add ``line_no`` (from 1, per file) to the result of :func:`read_lines`.
 
+    Gives ``file, line_no, line``, with ``block`` and ``row_id`` if wanted.
+
     Lines are counted per split; a running sum over the splits of a file (one
     row per split) turns positions within a split into line numbers.
     """
@@ -128,4 +130,5 @@ def number_lines(lines: DataFrame) -> DataFrame:
         "file",
         (F.col("row_id") - F.col("first_id") + F.col("before") + 1).alias("line_no"),
         "line",
+        *(["block", "row_id"] if keep_position else []),
     )

@@ -77,11 +77,30 @@ def test_large_lookup_with_a_third_of_the_rows_on_one_code(spark, settings):
         "code", "t", F.col("value").alias("label")
     )
     assert row_set(got) == row_set(want)
-    # The shuffled join's key spreads the settled rows.
     text = plan(got)
     assert "hashpartitioning(shuffle_key" in text and "SortMergeJoin" in text
 
 
+def test_heavy_codes_do_not_fill_one_task(spark, settings):
+    settings("spark.sql.autoBroadcastJoinThreshold", "-1")
+    settings("spark.sql.shuffle.partitions", "64")
+    settings("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    records = spark.range(0, 30000, 1, 32).selectExpr(
+        "case when id % 3 = 0 then 7 when id % 3 = 1 then null else cast(id as int) end as code",
+        "'copy' as t",
+    )
+    lookup = spark.range(0, 30000).selectExpr("cast(id as int) as key", "concat('L', id) as value")
+    spec = LookupSpec("code", lookup, "label")
+    got = enrich_with_lookups(records, [spec], max_broadcast_bytes=0, hot_rows=100)
+    per_task = got.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    # 10,000 copies of one row and 10,000 without a code, over 64 tasks.
+    assert per_task < 3000
+    plain = records.join(lookup, F.col("code") == F.col("key"), "left")
+    per_task = plain.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert per_task >= 10000
+    assert got.count() == 30000 and got.where("label = 'L7'").count() == 10000
+
+
 def test_sizes_are_measured_once_per_table(records, countries, ports):
     specs = [
         LookupSpec("num", countries, "a", numeric=True),

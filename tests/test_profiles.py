@@ -52,7 +52,7 @@ def test_profile_keeps_the_first_n_values(mixed):
 
 
 def test_profile_of_many_values_is_cut_before_the_shuffle(mixed):
-    assert plan(profile_value_counts(mixed, n=2)).count("WindowGroupLimit") == 2
+    assert plan(profile_value_counts(mixed, n=2)).count("WindowGroupLimit") == 2 * 3
 
 
 def test_profile_of_other_types(spark):

@@ -22,6 +22,7 @@ from recordlake.operators import (
     value_counts,
 )
 from recordlake.plans import query as run_sql
+from recordlake.plans import register
 from workload.registry import query
 from workload.sql import DATED
 from workload.tables import dated_orders, table
@@ -172,6 +173,26 @@ def first_n_by_key(spark, sf_dir):
     return first_by_key(orders, ["status", "o_orderkey"], 20)
 
 
+@query("""SELECT o_totalprice, count(*) AS records FROM orders
+GROUP BY 1 ORDER BY 1 DESC NULLS LAST LIMIT 30""")
+def largest_values(spark, sf_dir):
+    """The greatest values of a column with their counts, where anomalies show."""
+    counts = value_counts(table(spark, sf_dir, "orders"), "o_totalprice", ordered=False)
+    return last_by_key(counts, ["o_totalprice"], 30)
+
+
+@query(f"""WITH {DATED}
+SELECT status, o_orderpriority, min(o_totalprice) AS least, count(*) AS records
+FROM dated WHERE y = 1997 GROUP BY 1, 2 HAVING count(*) > 1""")
+def sql_over_a_named_view(spark, sf_dir):
+    register({"dated_orders": dated_orders(spark, sf_dir)})
+    return spark.sql(
+        """select status, o_orderpriority, min(o_totalprice) as least, count(*) as records
+           from dated_orders where y = 1997
+           group by 1, 2 having records > 1 order by 1, 2"""
+    )
+
+
 @query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice
 FROM lineitem WHERE l_orderkey = 5979
 ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice LIMIT 10""")

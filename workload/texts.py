@@ -4,7 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from recordlake.operators import Section, code_table_report, extract_code_tables
+from recordlake.operators import (
+    Section,
+    code_table_report,
+    extract_code_tables,
+    section_bounds,
+)
 from recordlake.plans import (
     export_code_tables,
     export_column_profile,
@@ -58,6 +63,41 @@ def code_tables_of_many_files(spark, sf_dir):
     return extract_code_tables(spark, path, _SECTIONS).drop("file")
 
 
+@query(f"""WITH files AS (SELECT c_custkey // {CODES_PER_FILE} AS file_no FROM customer),
+n AS (SELECT file_no, count(*) AS n FROM files GROUP BY 1)
+SELECT CAST(file_no AS INTEGER) AS file_no, 'custname' AS section,
+       CAST(1 AS BIGINT) AS first_line, n + 2 AS last_line FROM n
+UNION ALL SELECT CAST(file_no AS INTEGER), 'custsegment', n + 3, 2 * n + 4 FROM n""")
+def section_line_numbers(spark, sf_dir):
+    """At which lines of each file the sections begin and end."""
+    path = scratch_path(spark, "formats")
+    write_customer_text(spark, sf_dir, path)
+    lines = read_lines(spark, path)
+    bounds = section_bounds(lines, _SECTIONS, few_bounds=False)
+    first = bounds.select("file", "section", F.lit("first").alias("edge"), "first.*")
+    last = bounds.select("file", "section", F.lit("last").alias("edge"), "last.*")
+    edges = number_lines(lines, keep_position=True).join(
+        first.unionAll(last), ["file", "block", "row_id"]
+    )
+    file_no = F.regexp_extract("file", "file_no=([0-9]+)", 1).cast("int")
+    return edges.groupBy(file_no.alias("file_no"), "section").agg(
+        F.min("line_no").alias("first_line"), F.max("line_no").alias("last_line")
+    )
+
+
+@query("""SELECT 'custname' AS section, CAST(c_custkey AS INTEGER) AS key, c_name AS value
+FROM customer
+UNION ALL SELECT 'custsegment', CAST(c_custkey AS INTEGER), c_mktsegment FROM customer""")
+def code_tables_with_number_keys(spark, sf_dir):
+    """The same code tables, with int keys, when sections are too many to broadcast."""
+    path = scratch_path(spark, "formats")
+    write_customer_text(spark, sf_dir, path)
+    tables = extract_code_tables(
+        spark, path, _SECTIONS, numeric_key=True, max_broadcast_sections=0
+    )
+    return tables.drop("file")
+
+
 @query(f"""SELECT 'custname' AS section, count(DISTINCT c_custkey // {CODES_PER_FILE}) AS files,
        count(*) AS code_lines, CAST(0 AS BIGINT) AS other_lines FROM customer
 UNION ALL SELECT 'custsegment', count(DISTINCT c_custkey // {CODES_PER_FILE}), count(*), 0
