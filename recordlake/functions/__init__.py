@@ -2,6 +2,7 @@ from recordlake.functions.columns import (
     col,
     cols,
     columns_with_dtype,
+    literal_rows,
     partition_condition,
     quoted,
 )
@@ -29,6 +30,7 @@ __all__ = [
     "day_number_to_date",
     "has_assignment",
     "label_of_line",
+    "literal_rows",
     "partition_condition",
     "quoted",
     "strip",

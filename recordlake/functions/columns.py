@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -28,6 +28,12 @@ def columns_with_dtype(df: DataFrame, prefix: str) -> list[str]:
     return [name for name, dtype in df.dtypes if dtype.startswith(prefix)]
 
 
+def literal_rows(spark: SparkSession, rows: list[dict[str, Column]]) -> DataFrame:
+    """A frame of a few constant rows, given as constant columns by name."""
+    structs = [F.struct(*[c.alias(n) for n, c in row.items()]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def partition_condition(partitions: list[dict]) -> Column:
     """Predicate that keeps exactly the listed partitions.
 

@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recordlake.functions.columns import literal_rows
 from recordlake.functions.text import code_of_line, has_assignment, label_of_line
 from recordlake.sources.readers import read_lines
 
@@ -168,5 +169,5 @@ def code_table_report(
             F.count_if(~has_assignment(F.col("line"))).alias("other_lines"),
         )
     )
-    wanted = spark.createDataFrame([(s.name,) for s in sections], "section string")
+    wanted = literal_rows(spark, [{"section": F.lit(s.name)} for s in sections])
     return wanted.join(found, "section", "left").fillna(0)

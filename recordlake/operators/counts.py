@@ -54,9 +54,12 @@ def repeat_key_records(
     The heaviest keys are known to repeat: their records need no shuffle. The
     others are matched by a shuffled semi join in which no key is heavy.
     """
-    counts = repeat_keys(df, keys).dropna(subset=list(keys))
+    keyed = df
+    for key in keys:
+        keyed = keyed.where(col(key).isNotNull())
+    counts = repeat_keys(keyed, keys)
     hot = hot_keys(counts, keys, hot_rows, max_hot)
-    heavy, rest = split_hot(df, keys, hot)
+    heavy, rest = split_hot(keyed, keys, hot)
     matched = rest.join(counts.select(*cols(keys)), list(keys), "left_semi")
     return heavy.unionByName(matched)
 

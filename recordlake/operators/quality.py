@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordlake.functions.columns import col, cols
+from recordlake.functions.columns import col, cols, literal_rows
 
 CHECK_COLUMNS = ("check", "subject", "observed", "expected", "passed")
 
@@ -67,9 +67,14 @@ def lake_checks(
         distinct_with_null(col(unique_column)).alias("n_values"),
     )
     if expected_partitions is not None:
-        schema = df.select(*cols(partition_by)).schema
-        rows = [tuple(p[n] for n in partition_by) for p in expected_partitions]
-        wanted = df.sparkSession.createDataFrame(rows, schema)
+        types = dict(df.dtypes)
+        wanted = literal_rows(
+            df.sparkSession,
+            [
+                {n: F.lit(p[n]).cast(types[n]) for n in partition_by}
+                for p in expected_partitions
+            ],
+        )
         stats = wanted.join(stats, list(partition_by), "left").fillna(
             0, ["n_rows", "n_values"]
         )

@@ -118,6 +118,17 @@ def test_rebalanced_write_makes_few_files(spark, whole, out):
     assert len(files) == 6 and read_lake(spark, out).count() == 30
 
 
+def test_rebalanced_write_splits_a_large_partition(spark, settings, out):
+    settings("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100k")
+    settings("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "100k")
+    rows_of = spark.range(0, 300000, 1, 16).selectExpr(
+        "case when id % 3 = 0 then -1 else cast(id % 64 as int) end as k", "sha2(string(id), 256) as t"
+    )
+    write_lake(rows_of, out, ["k"], rebalance=True)
+    assert len([f for f in os.listdir(f"{out}/k=-1") if f.endswith(".parquet")]) > 3
+    assert read_lake(spark, out).count() == 300000
+
+
 def test_read_files_with_different_columns(spark, tmp_path):
     a, b = str(tmp_path / "a"), str(tmp_path / "b")
     spark.sql("select 1 as x, 'p' as y").write.parquet(a)

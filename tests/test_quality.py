@@ -39,6 +39,9 @@ def test_lake_checks(lake):
     assert got[("unique_id", "m=2")] == (1, 2, False)
     # NULL is one distinct value.
     assert got[("unique_id", "m=3")] == (1, 2, False)
+    doubles = lake.withColumn("m", F.col("m").cast("double"))
+    got = results(lake_checks(doubles, ["m"], "id", 2, [{"m": 1}]))
+    assert got[("not_empty", "m=1.0")] == (2, 2, True)
     found = results(lake_checks(lake, ["m"], "id", 28))
     assert len(found) == 9 and found[("column_count", "m=1")] == (2, 28, False)
 
