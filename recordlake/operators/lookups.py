@@ -51,7 +51,10 @@ class LookupSpec:
 
 
 def lookup_sizes(specs: Sequence[LookupSpec]) -> dict[tuple, int]:
-    """Upper estimate of each distinct lookup's size in memory, from one small job."""
+    """Upper estimate of each distinct lookup's size in memory, from one small job.
+
+    It reads the lookups once more: store one that is costly to derive.
+    """
     distinct = {_identity(s): s for s in specs}
     measured = [
         s.table.select(
@@ -101,7 +104,9 @@ def enrich_with_lookups(
         if sizes[_identity(spec)] <= max_broadcast_bytes:
             result = _label(result, spec, F.broadcast(spec.prepared()))
         else:
-            result = _label_large(result, spec, hot_rows)
+            # A code that came with the input is counted there, before any join.
+            counted = df if spec.code in df.columns else result
+            result = _label_large(result, spec, counted, hot_rows)
     return result
 
 
@@ -111,7 +116,11 @@ def _label(df: DataFrame, spec: LookupSpec, lookup: DataFrame) -> DataFrame:
 
 
 def _label_large(
-    df: DataFrame, spec: LookupSpec, hot_rows: int, max_hot: int = 10_000
+    df: DataFrame,
+    spec: LookupSpec,
+    counted: DataFrame,
+    hot_rows: int,
+    max_hot: int = 10_000,
 ) -> DataFrame:
     """Left join to a lookup that is too big to broadcast.
 
@@ -123,7 +132,7 @@ def _label_large(
     """
     lookup = spec.prepared()
     code, label = col(spec.code), spec.label_column
-    counts = value_counts(df.where(code.isNotNull()), spec.code, ordered=False)
+    counts = value_counts(counted.where(code.isNotNull()), spec.code, ordered=False)
     hot = hot_keys(counts, [spec.code], hot_rows, max_hot).select(
         code.alias("hot_code")
     )

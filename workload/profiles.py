@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from recordlake.operators import (
     apply_numeric_types,
     first_value_counts,
+    near_unique_columns,
     profile_value_counts,
     recommend_numeric_types,
     table_overview,
@@ -48,6 +49,16 @@ def profile_near_unique_column(spark, sf_dir):
     return first_value_counts(items, "l_extendedprice", 500, sample_fraction=0.05)
 
 
+@query("""SELECT column_name, n >= 100 AS near_unique FROM (
+  SELECT 'o_orderkey' AS column_name, count(DISTINCT o_orderkey) AS n FROM orders
+  UNION ALL SELECT 'o_orderstatus', count(DISTINCT o_orderstatus) FROM orders
+  UNION ALL SELECT 'o_orderpriority', count(DISTINCT o_orderpriority) FROM orders)""")
+def near_unique_flags(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    columns = ["o_orderkey", "o_orderstatus", "o_orderpriority"]
+    return near_unique_columns(orders, columns, min_values=100).drop("approx_values")
+
+
 @query(f"""WITH {DATED}, n AS (SELECT count(*) AS n_rows FROM dated)
 SELECT 'dated_orders' AS table_name, CAST(position AS INTEGER) AS position, column_name,
        data_type, true AS nullable, n_rows, 9 AS n_columns
