@@ -37,19 +37,22 @@ def _position() -> Column:
     return F.struct("block", "row_id")
 
 
-def _sections_where(sections: Sequence[Section], condition) -> Column:
-    """The sections, as rows, that meet a condition on their struct."""
+def _sections_started_by(line: Column, sections: Sequence[Section]) -> Column:
+    """Rows ``section, end_line``: the sections that begin with a line."""
     listed = F.array(
         *[
             F.struct(
                 F.lit(s.name).alias("section"),
-                F.lit(s.start).alias("start_line"),
                 F.lit(s.end).alias("end_line"),
+                F.lit(s.start).alias("start_line"),
             )
             for s in sections
         ]
     )
-    return F.inline(F.filter(listed, condition))
+    started = F.filter(listed, lambda s: s["start_line"] == line)
+    return F.inline(
+        F.transform(started, lambda s: F.struct(s["section"], s["end_line"]))
+    )
 
 
 def _attach(lines: DataFrame, bounds: DataFrame, few_bounds: bool) -> DataFrame:
@@ -81,7 +84,7 @@ def section_bounds(
         .select(
             "file",
             _position().alias("position"),
-            _sections_where(sections, lambda s: s["start_line"] == F.col("line")),
+            _sections_started_by(F.col("line"), sections).alias("section", "end_line"),
         )
         .groupBy("file", "section", "end_line")
         .agg(F.min("position").alias("first"))

@@ -18,14 +18,13 @@ from recordlake.functions.columns import col, cols, literal_rows
 CHECK_COLUMNS = ("check", "subject", "observed", "expected", "passed")
 
 
-def _check(name: str, subject: Column, observed: Column, expected: Column, passed=None):
-    passed = observed == expected if passed is None else passed
+def _check(name: str, subject: Column, observed: Column, expected: Column) -> Column:
     return F.struct(
         F.lit(name).alias("check"),
         subject.alias("subject"),
         observed.cast("bigint").alias("observed"),
         expected.cast("bigint").alias("expected"),
-        F.coalesce(passed, F.lit(False)).alias("passed"),
+        F.coalesce(observed == expected, F.lit(False)).alias("passed"),
     )
 
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from recordlake.operators import (
     code_table,
     code_table_report,
     extract_code_tables,
+    section_lines,
 )
 from recordlake.sources import number_lines, read_lines
 from tests.helpers import row_set, rows
@@ -84,6 +86,42 @@ def test_sections(spark, tmp_path, end, broadcast_limit):
         assert rows(code_table(tables, section)) == pairs
 
 
+def sections_by_hand(lines, sections):
+    """The lines within each section, by a plain walk through one file."""
+    found = []
+    for section in sections:
+        if section.start not in lines:
+            continue
+        first = lines.index(section.start) + 1
+        rest = lines[first:]
+        last = rest.index(section.end) if section.end in rest else len(rest)
+        found += [(section.name, line) for line in rest[:last]]
+    return found
+
+
+@pytest.mark.parametrize("broadcast_limit", [100_000, 0])
+def test_random_texts(spark, tmp_path, settings, broadcast_limit):
+    settings("spark.sql.files.maxPartitionBytes", "300")
+    generator = random.Random(11)
+    sections = [
+        Section("a", "start a", ""), Section("b", "start b", ";"),
+        Section("c", "start c", ""), Section("d", "start a", "\t"),
+    ]
+    markers = ["start a", "start b", "start c", "", ";", "\t"]
+    want = []
+    for number in range(30):
+        lines = [
+            generator.choice(markers) if generator.random() < 0.15 else f"{number}.{i} = x"
+            for i in range(generator.choice([0, 5, 60, 150]))
+        ]
+        write(tmp_path, f"{number}.txt", lines or ["nothing"])
+        want += [(f"{number}", *found) for found in sections_by_hand(lines, sections)]
+    found = section_lines(spark, str(tmp_path), sections, broadcast_limit)
+    number = F.regexp_extract("file", r"(\d+)\.txt", 1)
+    assert sorted(rows(found.select(number, "section", "line"))) == sorted(want)
+    assert len(want) > 500
+
+
 @pytest.mark.parametrize("broadcast_limit", [100_000, 0])
 def test_a_file_read_in_many_splits(spark, tmp_path, settings, broadcast_limit):
     settings("spark.sql.files.maxPartitionBytes", "2000")

@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as entry_points
 from tests.compare import connect, differences
+from tests.helpers import plan
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -29,6 +30,9 @@ def test_every_query_has_sql():
 def test_query(spark, duck, name):
     frame = entry_points.queries()[name](spark, SF_DIR)
     assert differences(frame, duck, entry_points.oracle_sql()[name]) == []
+    text = plan(frame)
+    for unwanted in ("Python", "ArrowEval", "CartesianProduct", "NestedLoopJoin"):
+        assert unwanted not in text
 
 
 def test_entry(spark):

@@ -27,7 +27,7 @@ from recordlake.sources import (
 )
 from workload.registry import query
 from workload.sql import VISITS, enriched
-from workload.tables import code_tables, visit_records
+from workload.tables import code_tables, table, visit_records
 
 _KEPT = """SELECT cicid, CAST(i94yr AS INTEGER) AS i94yr, CAST(i94mon AS INTEGER) AS i94mon,
        arrdate, visatype FROM visits"""
@@ -248,7 +248,7 @@ UNION ALL SELECT 'most_records', max(n) FROM (SELECT count(*) AS n FROM lines GR
 UNION ALL SELECT 'full_sequences', count(*) FROM (
   SELECT flag FROM lines GROUP BY 1 HAVING min(id) = 1 AND max(id) = count(*))""")
 def key_uniqueness_study(spark, sf_dir):
-    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+    lines = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").cast("double").alias("id"), F.col("l_returnflag").alias("flag")
     )
     study = key_study(lines, "id", ["flag"])
