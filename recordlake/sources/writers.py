@@ -36,7 +36,8 @@ def write_lake(
 
     ``mode`` is ``errorifexists`` (the safe one), ``append``, ``overwrite`` (the
     whole target) or ``replace_partitions`` (only the partitions that occur in
-    ``df``; a rerun gives the same lake).
+    ``df``; a rerun gives the same lake). An ``overwrite`` clears the target
+    before it writes, so a job that fails leaves it empty until it is run again.
 
     Rows are written where they are read, without a shuffle. ``rebalance`` is
     for input that is not laid out by partition already: it gathers the rows of
