@@ -188,8 +188,9 @@ def salvage(data: bytes) -> Iterator[tuple[int, int, Record | None, str]]:
     """All whole records of an archive, and the byte gaps between them.
 
     Yields start, end, and either a record or None with the reason of the gap. Where a check
-    fails, the search goes on from the next byte for a compressed member or a version line at a
-    line's start that begins a whole record; what lies between is one gap.
+    fails, the search goes on from the next byte for a compressed member or a version line that
+    begins a whole record; what lies between is one gap. So a whole record inside the payload of a
+    damaged one is recovered as a record.
     """
     at, gap, reason = 0, None, ""
     while at < len(data):
@@ -216,9 +217,8 @@ def salvage(data: bytes) -> Iterator[tuple[int, int, Record | None, str]]:
 
 def next_start(data: bytes, at: int) -> int:
     """Where the next member or version line may begin."""
-    member = data.find(MEMBER, at)
-    line = data.find(b"\nWARC/1.", at - 1)
-    return min([x for x in (member, line + 1 if line >= 0 else -1) if x >= 0], default=len(data))
+    found = (data.find(MEMBER, at), data.find(b"WARC/1.", at))
+    return min([x for x in found if x >= 0], default=len(data))
 
 
 ARCHIVE = (
