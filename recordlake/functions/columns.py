@@ -37,21 +37,26 @@ def literal_rows(spark: SparkSession, rows: list[dict[str, Column]]) -> DataFram
 def partition_condition(partitions: list[dict]) -> Column:
     """Predicate that keeps exactly the listed partitions.
 
-    With one partition column this is an ``IN`` list, otherwise an ``OR`` of
-    equality conjunctions. Both forms prune directories at planning time.
+    An ``IN`` list of the last column for each combination of the others, joined by
+    ``OR`` in a balanced tree: thousands of partitions stay a shallow expression.
+    Directories are pruned at planning time.
     """
     if not partitions:
         raise ValueError("at least one partition is needed")
     names = list(partitions[0])
     if any(list(p) != names for p in partitions):
         raise ValueError("all partitions must name the same columns in the same order")
-    if len(names) == 1:
-        return col(names[0]).isin([p[names[0]] for p in partitions])
-    condition = None
+    lists: dict[tuple, list] = {}
     for values in partitions:
-        one = None
-        for name in names:
-            equal = col(name) == F.lit(values[name])
-            one = equal if one is None else one & equal
-        condition = one if condition is None else condition | one
-    return condition
+        *leading, last = values.values()
+        lists.setdefault(tuple(leading), []).append(last)
+    terms = []
+    for leading, last in lists.items():
+        term = col(names[-1]).isin(last)
+        for name, value in zip(names, leading):
+            term = (col(name) == F.lit(value)) & term
+        terms.append(term)
+    while len(terms) > 1:
+        pairs = zip(terms[::2], terms[1::2])
+        terms = [a | b for a, b in pairs] + terms[len(terms) & ~1 :]
+    return terms[0]

@@ -32,11 +32,12 @@ def value_counts(df: DataFrame, column: str, ordered: bool = True) -> DataFrame:
 def share_of_total(df: DataFrame, keys: Sequence[str], ordered: bool = True) -> DataFrame:
     """Rows per combination of keys and their share of all rows in percent.
 
-    The total is a scalar subquery over ``df``. A window over the groups would
-    bring all of them to one task.
+    The total is a scalar subquery that adds up the counts, so ``df`` is read once
+    and the counts' shuffle is used twice. A window over the groups would bring all
+    of them to one task.
     """
-    total = df.agg(F.count("*")).scalar()
     counts = key_counts(df, keys, ordered=False)
+    total = counts.agg(F.sum("records")).scalar()
     shares = counts.withColumn("percent", F.try_divide("records", total) * 100)
     return shares.orderBy(*cols(keys)) if ordered else shares
 

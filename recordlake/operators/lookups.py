@@ -18,15 +18,20 @@ MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 _ROW_OVERHEAD = 64
 # Over how many keys rows are spread that pass a shuffled join unmatched.
 _SPREAD = 4096
+# Names of helper columns, which stand beside the columns of any input.
+_KEY, _HOT_CODE, _HOT_LABEL, _SHUFFLE_KEY, _SPREAD_KEY = (
+    f"_recordlake_{name}" for name in ("key", "hot_code", "hot_label", "shuffle_key", "spread_key")
+)
 
 
 @dataclass(frozen=True)
 class LookupSpec:
     """How one code column gets its label.
 
-    ``numeric`` is for number codes whose lookup keys are text (``'582'``). The
-    keys are converted once, on the lookup side; a key that is no number labels
-    nothing and fails nothing. The same ``table`` may serve several columns.
+    Keys are converted to the code's type, on the lookup side; a key that has no
+    value of that type labels nothing and fails nothing. ``numeric`` is for number
+    codes whose lookup keys are text (``'582'``): without a known code type, the keys
+    are read as doubles. The same ``table`` may serve several columns.
     """
 
     code: str
@@ -40,11 +45,16 @@ class LookupSpec:
     def label_column(self) -> str:
         return self.label or f"{self.code}_value"
 
-    def prepared(self) -> DataFrame:
-        """The lookup as ``lookup_key``, label, without keys that cannot match."""
+    def prepared(self, code_type: str | None = None) -> DataFrame:
+        """The lookup as ``lookup_key``, label, without keys that cannot match.
+
+        The key has the code's type, so whole numbers are compared as such.
+        """
         key = col(self.key)
-        if self.numeric:
-            key = key.try_cast("double")
+        if code_type is None and self.numeric:
+            code_type = "double"
+        if code_type is not None and dict(self.table.dtypes)[self.key] != code_type:
+            key = key.try_cast(code_type)
         return self.table.select(
             key.alias("lookup_key"), col(self.value).alias(self.label_column)
         ).where(F.col("lookup_key").isNotNull())
@@ -91,18 +101,23 @@ def enrich_with_lookups(
     NULL codes and codes without a label get a NULL label. Keys are expected to
     be unique (see ``key_checks``): a repeated key would multiply rows.
 
-    Lookups are measured first. Those under the limit are broadcast, so that all
-    of them are joined in one pass over ``df`` without a shuffle. A larger one is
+    Lookups are measured first. As long as those taken so far stay under the limit
+    together, they are broadcast, so that all
+    of them are joined in one pass over ``df`` without a shuffle. Another one is
     joined by shuffle, with its heavy codes kept apart: a code with more than
     ``hot_rows`` rows is heavy.
     """
     if not specs:
         return df
     sizes = lookup_sizes(specs)
-    result = df
+    result, used = df, 0
     for spec in specs:
-        if sizes[_identity(spec)] <= max_broadcast_bytes:
-            result = _label(result, spec, F.broadcast(spec.prepared()))
+        if spec.label_column in result.columns:
+            raise ValueError(f"there is a column {spec.label_column} already")
+        size = sizes[_identity(spec)]
+        if used + size <= max_broadcast_bytes:
+            used += size
+            result = _label(result, spec, F.broadcast(_keyed(result, spec)))
         else:
             # A code that came with the input is counted there, before any join.
             counted = df if spec.code in df.columns else result
@@ -110,9 +125,14 @@ def enrich_with_lookups(
     return result
 
 
+def _keyed(df: DataFrame, spec: LookupSpec) -> DataFrame:
+    """The lookup with keys of the code's type, under a name that no column of ``df`` has."""
+    return spec.prepared(dict(df.dtypes)[spec.code]).withColumnRenamed("lookup_key", _KEY)
+
+
 def _label(df: DataFrame, spec: LookupSpec, lookup: DataFrame) -> DataFrame:
-    joined = df.join(lookup, col(spec.code) == F.col("lookup_key"), "left")
-    return joined.drop("lookup_key")
+    joined = df.join(lookup, col(spec.code) == F.col(_KEY), "left")
+    return joined.drop(_KEY)
 
 
 def _label_large(
@@ -130,39 +150,38 @@ def _label_large(
     them over the tasks. These keys come from the row and the task that read it:
     copies of one row spread too, and a task that runs again gives the same keys.
     """
-    lookup = spec.prepared()
+    lookup = _keyed(df, spec)
     code, label = col(spec.code), spec.label_column
     counts = value_counts(counted.where(code.isNotNull()), spec.code, ordered=False)
     hot = hot_keys(counts, [spec.code], hot_rows, max_hot).select(
-        code.alias("hot_code")
+        code.alias(_HOT_CODE)
     )
     hot_lookup = lookup.join(
-        F.broadcast(hot), F.col("lookup_key") == F.col("hot_code"), "left_semi"
+        F.broadcast(hot), F.col(_KEY) == F.col(_HOT_CODE), "left_semi"
     )
     hot_labels = hot.join(
-        F.broadcast(hot_lookup), F.col("hot_code") == F.col("lookup_key"), "left"
-    ).select("hot_code", col(label).alias("hot_label"))
+        F.broadcast(hot_lookup), F.col(_HOT_CODE) == F.col(_KEY), "left"
+    ).select(_HOT_CODE, col(label).alias(_HOT_LABEL))
 
-    settled = code.isNull() | F.col("hot_code").isNotNull()
-    spread = F.pmod(
-        F.xxhash64(F.spark_partition_id(), *cols(df.columns)), F.lit(_SPREAD)
-    )
+    settled = code.isNull() | F.col(_HOT_CODE).isNotNull()
+    hashed = [n for n, dtype in df.dtypes if "map<" not in dtype and dtype != "variant"]
+    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *cols(hashed)), F.lit(_SPREAD))
     shuffle_key = F.struct(
         F.when(~settled, code).alias("code"),
         F.when(settled, spread).otherwise(0).alias("spread"),
     )
     lookup_key = F.struct(
-        F.col("lookup_key").alias("code"), F.lit(0).cast("bigint").alias("spread")
+        F.col(_KEY).alias("code"), F.lit(0).cast("bigint").alias("spread")
     )
     return (
-        df.join(F.broadcast(hot_labels), code == F.col("hot_code"), "left")
-        .withColumn("shuffle_key", shuffle_key)
+        df.join(F.broadcast(hot_labels), code == F.col(_HOT_CODE), "left")
+        .withColumn(_SHUFFLE_KEY, shuffle_key)
         .join(
-            lookup.select(lookup_key.alias("spread_key"), col(label)),
-            F.col("shuffle_key") == F.col("spread_key"),
+            lookup.select(lookup_key.alias(_SPREAD_KEY), col(label)),
+            F.col(_SHUFFLE_KEY) == F.col(_SPREAD_KEY),
             "left",
         )
-        .select(*cols(df.columns), F.coalesce("hot_label", col(label)).alias(label))
+        .select(*cols(df.columns), F.coalesce(_HOT_LABEL, col(label)).alias(label))
     )
 
 
@@ -175,7 +194,5 @@ def unmatched_codes(
     """
     counts = value_counts(df, spec.code, ordered=False)
     codes = counts.where(col(spec.code).isNotNull())
-    missing = codes.join(
-        spec.prepared(), col(spec.code) == F.col("lookup_key"), "left_anti"
-    )
+    missing = codes.join(_keyed(df, spec), col(spec.code) == F.col(_KEY), "left_anti")
     return missing.orderBy(col(spec.code)) if ordered else missing

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordlake.functions.columns import col, cols, literal_rows
+from recordlake.functions.columns import col, cols, literal_rows, quoted
 
 CHECK_COLUMNS = ("check", "subject", "observed", "expected", "passed")
 
@@ -58,8 +58,8 @@ def lake_checks(
 
     One job for all partitions. The distinct count shuffles by partition and
     value, so a large partition is spread over the tasks. A partition listed in
-    ``expected_partitions`` that has no rows fails; without the list, the
-    partitions found are checked.
+    ``expected_partitions`` that has no rows fails, and so does one that has rows but
+    is not listed; without the list, the partitions found are checked.
     """
     stats = df.groupBy(*cols(partition_by)).agg(
         F.count("*").alias("n_rows"),
@@ -74,15 +74,26 @@ def lake_checks(
                 for p in expected_partitions
             ],
         )
-        stats = wanted.join(stats, list(partition_by), "left").fillna(
-            0, ["n_rows", "n_values"]
+        # Null-safe, and unlisted partitions stay: they have no place in the lake.
+        wanted = wanted.withColumn("listed", F.lit(True)).alias("wanted")
+        found = stats.alias("found")
+        same = [
+            F.col(f"wanted.{quoted(n)}").eqNullSafe(F.col(f"found.{quoted(n)}")) for n in partition_by
+        ]
+        stats = wanted.join(found, same, "full_outer").select(
+            *[F.coalesce(f"wanted.{quoted(n)}", f"found.{quoted(n)}").alias(n) for n in partition_by],
+            *[F.coalesce(n, F.lit(0).cast("bigint")).alias(n) for n in ("n_rows", "n_values")],
+            F.coalesce("listed", F.lit(False)).alias("listed"),
         )
     subject = partition_name(partition_by)
     n_rows = F.col("n_rows")
+    wanted_rows = F.greatest(n_rows, F.lit(1))
+    if expected_partitions is not None:
+        wanted_rows = F.when(F.col("listed"), wanted_rows).otherwise(F.lit(0).cast("bigint"))
     return _rows(
         stats,
         _check("column_count", subject, F.lit(len(df.columns)), F.lit(expected_columns)),
-        _check("not_empty", subject, n_rows, F.greatest(n_rows, F.lit(1))),
+        _check("not_empty", subject, n_rows, wanted_rows),
         _check(f"unique_{unique_column}", subject, F.col("n_values"), n_rows),
     )
 

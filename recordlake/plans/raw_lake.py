@@ -21,7 +21,7 @@ def ingest_files(
     mode: str = "append",
     options: dict | None = None,
     schema=None,
-    same_schema: bool = True,
+    same_schema: bool = False,
     rebalance: bool = False,
 ) -> None:
     """Write files of any installed format to one parquet lake, as one job.
@@ -51,15 +51,21 @@ def build_raw_lake(
     months: Sequence[str] = visits.MONTH_NAMES,
     suffix: str = ".parquet",
     fmt: str = "parquet",
-    mode: str = "overwrite",
+    mode: str = "replace_partitions",
     options: dict | None = None,
-    same_schema: bool = True,
+    schema=None,
+    same_schema: bool = False,
 ) -> DataFrame:
-    """Ingest the monthly files into a lake by year and month; return its checks."""
+    """Ingest the monthly files into a lake by year and month; return its checks.
+
+    By default the months that the files hold are replaced and all others stay, so
+    one month can be built again. ``mode="overwrite"`` clears the whole lake first.
+    Formats without types need a ``schema`` (see :func:`visits.raw_schema`).
+    """
     paths = monthly_paths(base, years, months, suffix)
     ingest_files(
         spark, paths, out, fmt, visits.PARTITION_BY, mode, options,
-        same_schema=same_schema,
+        schema=schema, same_schema=same_schema,
     )
     expected = [
         {"i94yr": 2000 + int(yy), "i94mon": visits.MONTH_NAMES.index(mmm) + 1}

@@ -6,17 +6,19 @@ from pyspark.sql import types as T
 
 from recordlake.operators.code_tables import Section
 
-# The raw record. All numbers arrive as doubles.
-NUMBER_COLUMNS = (
-    "cicid", "i94yr", "i94mon", "i94cit", "i94res", "arrdate", "i94mode",
-    "depdate", "i94bir", "i94visa", "count", "biryear", "admnum",
+# The raw record, in source order. All numbers arrive as doubles.
+RAW_COLUMNS = (
+    ("cicid", "double"), ("i94yr", "double"), ("i94mon", "double"), ("i94cit", "double"),
+    ("i94res", "double"), ("i94port", "string"), ("arrdate", "double"), ("i94mode", "double"),
+    ("i94addr", "string"), ("depdate", "double"), ("i94bir", "double"), ("i94visa", "double"),
+    ("count", "double"), ("dtadfile", "string"), ("visapost", "string"), ("occup", "string"),
+    ("entdepa", "string"), ("entdepd", "string"), ("entdepu", "string"), ("matflag", "string"),
+    ("biryear", "double"), ("dtaddto", "string"), ("gender", "string"), ("insnum", "string"),
+    ("airline", "string"), ("admnum", "double"), ("fltno", "string"), ("visatype", "string"),
 )
-TEXT_COLUMNS = (
-    "i94port", "i94addr", "dtadfile", "visapost", "occup", "entdepa", "entdepd",
-    "entdepu", "matflag", "dtaddto", "gender", "insnum", "airline", "fltno",
-    "visatype",
-)
-RAW_COLUMN_COUNT = 28
+NUMBER_COLUMNS = tuple(name for name, dtype in RAW_COLUMNS if dtype == "double")
+TEXT_COLUMNS = tuple(name for name, dtype in RAW_COLUMNS if dtype == "string")
+RAW_COLUMN_COUNT = len(RAW_COLUMNS)
 
 # Partitioning, record id and ids that are near-unique.
 PARTITION_BY = ("i94yr", "i94mon")
@@ -61,7 +63,6 @@ ENRICHED_COLUMNS = (
 
 
 def raw_schema() -> T.StructType:
-    """Schema of a raw visit record, for readers of formats without one."""
-    numbers = [T.StructField(c, T.DoubleType()) for c in NUMBER_COLUMNS]
-    texts = [T.StructField(c, T.StringType()) for c in TEXT_COLUMNS]
-    return T.StructType(numbers + texts)
+    """Schema of a raw visit record in source order, for formats without types."""
+    types = {"double": T.DoubleType(), "string": T.StringType()}
+    return T.StructType([T.StructField(name, types[dtype]) for name, dtype in RAW_COLUMNS])

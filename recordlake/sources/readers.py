@@ -28,18 +28,28 @@ def read_files(
     fmt: str = "parquet",
     options: dict | None = None,
     schema=None,
-    same_schema: bool = True,
+    same_schema: bool = False,
 ) -> DataFrame:
     """Read many files of any installed format as one frame, hence one job.
 
-    With ``same_schema=False`` every path is read with its own columns and the
-    frames are united by column name; a column that a file lacks is NULL there.
+    Every file is read with its own columns; a column that a file lacks is NULL
+    there. Parquet and ORC files are compared in one job, paths of other formats are
+    united by column name. ``same_schema=True`` promises that all files have the
+    columns of the first and saves the comparison; other columns would be lost.
+
+    A given schema holds for all files. For CSV with a header it is checked against
+    the names in each header, so columns are never taken by position.
     """
-    reader = spark.read.format(fmt).options(**(options or {}))
+    options = {k.lower(): v for k, v in (options or {}).items()}
+    if schema is not None and fmt == "csv" and str(options.get("header")).lower() == "true":
+        options.setdefault("enforceschema", False)
+    reader = spark.read.format(fmt).options(**options)
     if schema is not None:
-        reader = reader.schema(schema)
-    if same_schema:
+        return reader.schema(schema).load(paths)
+    if same_schema or not paths:
         return reader.load(paths)
+    if fmt in ("parquet", "orc"):
+        return reader.option("mergeSchema", True).load(paths)
     frames = [reader.load(path) for path in paths]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 

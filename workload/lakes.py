@@ -77,10 +77,10 @@ def partition_filter_between(spark, sf_dir):
     return _kept(lake.where((F.col("i94yr") == 1998) & F.col("i94mon").between(3, 6)))
 
 
-@query(f"WITH {VISITS} {_KEPT} WHERE i94yr = 1998")
+@query(f"WITH {VISITS} {_KEPT}")
 def glob_basepath(spark, sf_dir):
     path = raw_lake(spark, sf_dir)
-    return _kept(read_lake_files(spark, path, "i94yr=1998/*/*.parquet"))
+    return _kept(read_lake_files(spark, path, "*/*/*.parquet"))
 
 
 @query(f"WITH {VISITS} {_KEPT}")
