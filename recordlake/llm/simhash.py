@@ -22,7 +22,9 @@ SEED = 42
 #: Distinct fingerprints that the driver looks at to group bits and to estimate candidates.
 SAMPLE_SIZE = 2048
 #: Fingerprints of a bucket that are compared in one piece; larger buckets are cut into blocks.
-BLOCK = 2048
+#: A bucket of n blocks deals out each row n times, so blocks are as large as one task can compare
+#: in seconds; they take well under a megabyte.
+BLOCK = 8192
 #: Relative costs of dealing out a fingerprint once and of comparing a pair.
 ROW_COST, PAIR_COST = 2.0, 0.005
 

@@ -43,7 +43,7 @@ def brute_classes(nodes, linked):
     return {n: find(n) for n in nodes}
 
 
-@pytest.mark.parametrize("block", [2048, 8])
+@pytest.mark.parametrize("block", [8192, 8])
 def test_near_duplicates_against_brute_force(documents, monkeypatch, block):
     monkeypatch.setattr(simhash, "BLOCK", block)  # cuts buckets into blocks
     rng = random.Random(6)

@@ -136,11 +136,11 @@ def test_markov_scores_against_a_plain_sum(spark):
     alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
     words = ["configuration", "management", "identifier", "transaction", "information", "application"]
     rows = [("".join(rng.choice(alphabet) for _ in range(30)), True) for _ in range(4000)]
-    rows += [("_".join(rng.sample(words, 2)), False) for _ in range(400)]
+    rows += [("_".join(rng.sample(words, 2)), False) for _ in range(4000)]
     rows += [(None, True), ("x", None)]
     models = secrets.train(spark.createDataFrame(rows, "text string, is_secret boolean"))
     held_out = ["".join(rng.choice(alphabet) for _ in range(24)) for _ in range(100)]
-    plain = ["-".join(rng.sample(words, 3)) for _ in range(100)]
+    plain = ["_".join(rng.sample(words, 3)) for _ in range(100)]
     assert (models.scores(held_out) > models.threshold).mean() > 0.95
     assert (models.scores(plain) > models.threshold).mean() < 0.05
     s, before, total = held_out[0], 0, 0.0
