@@ -126,3 +126,12 @@ def test_partition_condition(spark):
         partition_condition([])
     with pytest.raises(ValueError):
         partition_condition([{"y": 1}, {"m": 1}])
+
+
+def test_thousands_of_partitions_stay_a_shallow_condition(spark):
+    from recordlake.functions.columns import partition_condition
+
+    partitions = [{"a": k, "y": k % 50, "m": k % 7} for k in range(5000)]
+    condition = partition_condition(partitions)
+    rows = spark.range(10000).selectExpr("int(id) as a", "int(id % 50) as y", "int(id % 7) as m")
+    assert rows.where(condition).count() == 5000

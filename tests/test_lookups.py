@@ -78,7 +78,7 @@ def test_large_lookup_with_a_third_of_the_rows_on_one_code(spark, settings):
     )
     assert row_set(got) == row_set(want)
     text = plan(got)
-    assert "hashpartitioning(shuffle_key" in text and "SortMergeJoin" in text
+    assert "hashpartitioning(_recordlake_shuffle_key" in text and "SortMergeJoin" in text
 
 
 def test_heavy_codes_do_not_fill_one_task(spark, settings):
@@ -121,3 +121,18 @@ def test_unmatched_codes(records, countries):
     spec = LookupSpec("num", countries, numeric=True)
     got = rows(unmatched_codes(records.where("id <> 5"), spec))
     assert got == [(101.0, 1)]
+
+
+@pytest.mark.parametrize("limit", [0, 64 << 20])
+def test_whole_numbers_beyond_doubles_and_clashing_columns(spark, limit):
+    records = spark.createDataFrame(
+        [(9007199254740993, {"a": 1}, "x"), (None, None, "y")],
+        "code bigint, m map<string,int>, lookup_key string",
+    )
+    keys = [("9007199254740992", "even"), ("9007199254740993", "odd"), ("no number", "z")]
+    lookup = spark.createDataFrame(keys, "key string, value string")
+    spec = LookupSpec("code", lookup, "label", numeric=True)
+    got = enrich_with_lookups(records, [spec], max_broadcast_bytes=limit)
+    assert sorted((r["lookup_key"], r["label"]) for r in got.collect()) == [("x", "odd"), ("y", None)]
+    with pytest.raises(ValueError):
+        enrich_with_lookups(records, [LookupSpec("code", lookup, "m")])

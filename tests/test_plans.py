@@ -44,14 +44,14 @@ LABELS = "\r\n".join(
 
 
 def record(month, cicid, **values):
-    base = dict.fromkeys(visits.NUMBER_COLUMNS + visits.TEXT_COLUMNS)
+    base = dict.fromkeys([name for name, _ in visits.RAW_COLUMNS])
     base.update(
         i94yr=2016.0, i94mon=float(month), cicid=float(cicid), count=1.0,
         arrdate=20454.0 + 31 * (month - 1), i94visa=2.0, visatype="B2", i94port="ALC",
         i94addr="AL", i94cit=582.0, i94res=101.0, i94mode=1.0, admnum=5e9 + cicid,
     )
     base.update(values)
-    return tuple(base[c] for c in visits.NUMBER_COLUMNS + visits.TEXT_COLUMNS)
+    return tuple(base[c] for c in [name for name, _ in visits.RAW_COLUMNS])
 
 
 RECORDS = [
