@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from recordlake.operators.code_tables import Section, extract_code_tables
 from recordlake.operators.quality import key_checks
 from recordlake.plans import visits
-from recordlake.sources.readers import read_delimited
+from recordlake.sources.readers import read_exported
 from recordlake.sources.writers import write_csv_tables
 
 
@@ -36,7 +36,7 @@ def read_code_tables(
 ) -> dict[str, DataFrame]:
     """The exported code tables by name. All columns are strings."""
     return {
-        name: read_delimited(
+        name: read_exported(
             spark, f"{path.rstrip('/')}/lookup={name}", schema="key string, value string"
         )
         for name in names

@@ -3,6 +3,7 @@ from recordlake.sources.readers import (
     number_lines,
     read_default,
     read_delimited,
+    read_exported,
     read_files,
     read_lake,
     read_lake_files,
@@ -23,6 +24,7 @@ __all__ = [
     "number_lines",
     "read_default",
     "read_delimited",
+    "read_exported",
     "read_files",
     "read_lake",
     "read_lake_files",

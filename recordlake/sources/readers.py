@@ -9,6 +9,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+# Exported CSV: quotes are doubled, blanks at the ends stay, NULL is an empty field and an
+# empty text a pair of quotes.
+CSV_LAYOUT = dict(
+    header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+)
+
+
 def expand_paths(template: str, **lists) -> list[str]:
     """Fill a path template with every combination of the given values.
 
@@ -89,6 +96,19 @@ def read_delimited(
     )
 
 
+def read_exported(spark: SparkSession, path, schema=None) -> DataFrame:
+    """Read what the CSV sinks of this library wrote, value for value.
+
+    Values may hold line ends, so a file is read by one task: exports are bounded
+    listings and code tables. An empty field is NULL, a quoted empty one is an empty
+    text; for that, the text of one NUL character stands for NULL in the reader.
+    """
+    return spark.read.csv(
+        path, schema=schema, multiLine=True, nullValue="\0", enforceSchema=schema is None,
+        **CSV_LAYOUT,
+    )
+
+
 def read_raw_rows(spark: SparkSession, path) -> DataFrame:
     """Read delimited text with the whole row in one column ``_c0``.
 

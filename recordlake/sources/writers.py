@@ -6,22 +6,31 @@ import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordlake.functions.columns import col, cols, partition_condition
-from recordlake.sources.readers import read_lake
+from recordlake.sources.readers import CSV_LAYOUT, read_lake
 
 WRITE_MODES = ("errorifexists", "append", "overwrite", "replace_partitions")
 _PLAIN_VALUE = re.compile(r"[\w.\-]+")
 
 
 def whole_partition_values(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """Turn double partition columns into ints: directories ``y=2016``, not ``y=2016.0``."""
+    """Turn double partition columns into ints: directories ``y=2016``, not ``y=2016.0``.
+
+    A value with a fraction, or beyond the ints, fails the job: cut, its rows would land
+    in another partition.
+    """
     doubles = {name for name, dtype in df.dtypes if dtype in ("double", "float")}
-    return df.withColumns(
-        {n: col(n).try_cast("int") for n in partition_by if n in doubles}
-    )
+    return df.withColumns({n: _whole(n) for n in partition_by if n in doubles})
+
+
+def _whole(name: str) -> Column:
+    value, whole = col(name), col(name).try_cast("int")
+    unfit = value.isNotNull() & (whole.isNull() | (whole.cast("double") != value))
+    message = F.concat(F.lit(f"{name} is no whole number: "), value.cast("string"))
+    return F.when(unfit, F.raise_error(message)).otherwise(whole)
 
 
 def write_lake(
@@ -64,11 +73,26 @@ def write_lake(
     writer.parquet(path)
 
 
-def _partitions_with_rows(df: DataFrame, partitions: list[dict]) -> set[tuple]:
-    """Which of the listed partitions hold rows: at most ``len(partitions)`` tuples."""
+def _first_files(spark: SparkSession, path: str, partitions: list[dict]) -> dict[tuple, str]:
+    """A file of each listed partition that holds rows: one entry per partition at most.
+
+    No data column is read. Values are text, as in the directory names.
+    """
+    try:
+        lake = read_lake(spark, path)
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return {}
     names = list(partitions[0])
-    rows = df.where(partition_condition(partitions)).select(*cols(names)).distinct()
-    return {tuple(r) for r in rows.collect()}
+    files = lake.select(*cols(names), F.col("_metadata.file_path").alias("_recordlake_file"))
+    found = (
+        files.where(partition_condition(partitions))
+        .groupBy(*cols(names))
+        .agg(F.min("_recordlake_file"))
+        .collect()
+    )
+    return {tuple(map(str, row[:-1])): row[-1] for row in found}
 
 
 def _partition_path(path: str, partition: dict) -> str:
@@ -85,21 +109,17 @@ def replace_partitions(
 
     Other partitions stay as they are and a rerun changes nothing. A dynamic
     overwrite leaves a partition alone that gets no new rows, so partitions that
-    became empty are emptied explicitly.
+    became empty are emptied afterwards: they are those that still have a file from
+    before. ``df`` is evaluated once, by the write. If a job fails in between, such
+    partitions keep their old rows until the call is repeated, which is all it takes.
     """
     spark = df.sparkSession
     names = list(partitions[0])
     new = df.where(partition_condition(partitions))
-    try:
-        old_filled = _partitions_with_rows(read_lake(spark, path), partitions)
-    except AnalysisException as error:
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        old_filled = set()
-    # Old values come back typed as the directory names read; compare as text.
-    filled = {tuple(map(str, t)) for t in _partitions_with_rows(new, partitions)}
-    stale = {tuple(map(str, t)) for t in old_filled} - filled
+    before = _first_files(spark, path, partitions)
     write_lake(new, path, names, "replace_partitions", rebalance=rebalance)
+    after = _first_files(spark, path, partitions) if before else {}
+    stale = {p for p, file in before.items() if after.get(p) == file}
     no_rows = new.limit(0).drop(*names)
     for partition in partitions:
         if tuple(str(v) for v in partition.values()) in stale:
@@ -117,7 +137,7 @@ def write_value_counts_csv(
     """Write the first ``n`` rows, by value, of a value count to one headered CSV.
 
     The header is ``<column>,<count_name>``. The row limit is what makes a single
-    file safe.
+    file safe. :func:`read_exported` gives back every value as it was.
     """
     (
         counts.orderBy(col(column).asc_nulls_first())
@@ -125,15 +145,18 @@ def write_value_counts_csv(
         .select(col(column), F.col("records").alias(count_name))
         .coalesce(1)
         .write.mode(mode)
-        .csv(path, header=True)
+        .csv(path, **CSV_LAYOUT)
     )
 
 
 def write_csv_tables(
     tables: DataFrame, path: str, table_column: str, mode: str = "errorifexists"
 ) -> None:
-    """Write one folder of headered CSV per value of ``table_column``."""
-    tables.write.mode(mode).partitionBy(table_column).csv(path, header=True)
+    """Write one folder of headered CSV per value of ``table_column``.
+
+    :func:`read_exported` gives back every value as it was.
+    """
+    tables.write.mode(mode).partitionBy(table_column).csv(path, **CSV_LAYOUT)
 
 
 def roundtrip(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:

@@ -10,6 +10,7 @@ from recordlake.sources import (
     expand_paths,
     read_default,
     read_delimited,
+    read_exported,
     read_files,
     read_lake,
     read_lake_files,
@@ -164,6 +165,26 @@ def test_value_counts_csv(spark, out):
     assert rows(read_delimited(spark, out)) == [(None, "1"), ("9.0", "3"), ("10.0", "2")]
 
 
+def test_awkward_values_survive_csv(spark, out):
+    values = [" x", "x", "x ", "a\nb", "a\r\nb", "", None, '"', 'a"b', "\\", "a\\", '\\"', "a,b", "\\N", "#c"]
+    counts = spark.createDataFrame([("t", v, 1) for v in values], "t string, value string, records long")
+    write_csv_tables(counts, f"{out}/tables", "t")
+    found = rows(read_exported(spark, f"{out}/tables").select("value"))
+    assert sorted(found, key=str) == sorted([(v,) for v in values], key=str)
+    write_value_counts_csv(counts, "value", f"{out}/counts")
+    found = rows(read_exported(spark, f"{out}/counts").select("value"))
+    assert sorted(found, key=str) == sorted([(v,) for v in values], key=str)
+
+
+def test_partition_values_with_a_fraction_fail(spark):
+    for value in (4.7, 1e12, float("nan")):
+        df = spark.createDataFrame([(value,)], "m double")
+        with pytest.raises(Exception, match="no whole number"):
+            whole_partition_values(df, ["m"]).collect()
+    df = spark.createDataFrame([(4.0,), (None,)], "m double")
+    assert rows(whole_partition_values(df, ["m"])) == [(4,), (None,)]
+
+
 def test_csv_tables(spark, out):
     df = spark.createDataFrame([("a", "060", "x, y"), ("b", "1", "z")], "t string, key string, value string")
     write_csv_tables(df, out, "t")

@@ -17,7 +17,14 @@ from recordlake.plans import (
     read_code_tables,
 )
 from recordlake.scratch import scratch_path
-from recordlake.sources import number_lines, read_delimited, read_lines, read_raw_rows
+from recordlake.sources import (
+    number_lines,
+    read_delimited,
+    read_exported,
+    read_lines,
+    read_raw_rows,
+    write_csv_tables,
+)
 from workload.lakes import raw_lake
 from workload.profiles import profile_sql
 from workload.registry import query
@@ -25,6 +32,7 @@ from workload.sql import DATED, LOOKUPS, VISITS
 from workload.tables import (
     CODES_PER_FILE,
     dated_orders,
+    table,
     write_code_text,
     write_customer_text,
 )
@@ -162,7 +170,27 @@ FROM orders GROUP BY orders.o_custkey ORDER BY orders.o_custkey NULLS FIRST LIMI
 def value_counts_csv(spark, sf_dir):
     path = scratch_path(spark, "counts")
     export_value_counts(dated_orders(spark, sf_dir), "o_custkey", path)
-    return read_delimited(spark, path)
+    return read_exported(spark, path)
+
+
+#: Texts that CSV may lose: blanks at the ends, quotes, line ends, backslashes, nothing at all.
+_AWKWARD = """SELECT 'all' AS export, CASE l_linenumber
+         WHEN 1 THEN ' ' || l_returnflag || ' ' WHEN 2 THEN '"' || l_returnflag || '",'
+         WHEN 3 THEN l_returnflag || {line_end} || 'x' WHEN 4 THEN l_returnflag || {backslash}
+         WHEN 5 THEN '' WHEN 6 THEN NULL ELSE l_returnflag END AS value
+  FROM lineitem"""
+
+
+@query(f"""SELECT value, CAST(count(*) AS VARCHAR) AS records
+FROM ({_AWKWARD.format(line_end="chr(10)", backslash="chr(92)")}) GROUP BY value""")
+def csv_of_awkward_values(spark, sf_dir):
+    """Groups of texts that are hard to write, exported and read again."""
+    lines = table(spark, sf_dir, "lineitem")
+    sql = _AWKWARD.format(line_end="char(10)", backslash="char(92)").replace("lineitem", "{lines}")
+    counts = spark.sql(sql, lines=lines).groupBy("export", "value").agg(F.count("*").alias("records"))
+    path = scratch_path(spark, "awkward")
+    write_csv_tables(counts, path, "export")
+    return read_exported(spark, path).select("value", "records")
 
 
 _RAW_LAKE_COLUMNS = (
@@ -188,7 +216,7 @@ def column_profile_export(spark, sf_dir):
     out = scratch_path(spark, "profile")
     export_column_profile(spark, raw_lake(spark, sf_dir), out)
     number = F.col("value").try_cast("double")
-    return read_delimited(spark, out).select(
+    return read_exported(spark, out).select(
         "column_name",
         "position",
         number.alias("number"),
