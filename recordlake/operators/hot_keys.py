@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordlake.functions.columns import cols
 
 
 def hot_keys(
-    counts: DataFrame, keys: Sequence[str], hot_rows: int, max_hot: int
+    counts: DataFrame, keys: Sequence[str], hot_rows: int | Column, max_hot: int
 ) -> DataFrame:
     """The keys with more than ``hot_rows`` records, the ``max_hot`` heaviest at most.
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from recordlake.functions.columns import col, cols
 from recordlake.operators.counts import value_counts
 from recordlake.operators.hot_keys import hot_keys
+from recordlake.scratch import scratch_path
 
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 # What a row costs in a broadcast hash table besides its text.
@@ -19,8 +20,9 @@ _ROW_OVERHEAD = 64
 # Over how many keys rows are spread that pass a shuffled join unmatched.
 _SPREAD = 4096
 # Names of helper columns, which stand beside the columns of any input.
-_KEY, _HOT_CODE, _HOT_LABEL, _SHUFFLE_KEY, _SPREAD_KEY = (
-    f"_recordlake_{name}" for name in ("key", "hot_code", "hot_label", "shuffle_key", "spread_key")
+_KEY, _CHAIN_KEY, _HOT_CODE, _HOT_LABEL, _SHUFFLE_KEY, _SPREAD_KEY = (
+    f"_recordlake_{name}"
+    for name in ("key", "chain_key", "hot_code", "hot_label", "shuffle_key", "spread_key")
 )
 
 
@@ -94,35 +96,68 @@ def enrich_with_lookups(
     df: DataFrame,
     specs: Sequence[LookupSpec],
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
-    hot_rows: int = 1_000_000,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Add one label column per spec; every row of ``df`` is kept.
 
-    NULL codes and codes without a label get a NULL label. Keys are expected to
+    NULL codes and codes without a label get a NULL label. A code may be the label
+    of an earlier spec. Keys are expected to
     be unique (see ``key_checks``): a repeated key would multiply rows.
 
     Lookups are measured first. As long as those taken so far stay under the limit
     together, they are broadcast, so that all
     of them are joined in one pass over ``df`` without a shuffle. Another one is
     joined by shuffle, with its heavy codes kept apart: a code with more than
-    ``hot_rows`` rows is heavy.
+    ``hot_rows`` rows is heavy, by default one that exceeds an even share of a
+    shuffle task. Labels of its labels are looked up on the lookup's own rows, so
+    a chain of large lookups is one join with ``df``. Heavy codes are found by a
+    job that reads the code column only.
     """
     if not specs:
         return df
+    _refuse_existing_labels(df, specs)
     sizes = lookup_sizes(specs)
-    result, used = df, 0
-    for spec in specs:
-        if spec.label_column in result.columns:
-            raise ValueError(f"there is a column {spec.label_column} already")
-        size = sizes[_identity(spec)]
+    result, used, chains, rest = df, 0, [], list(specs)
+    while rest:
+        spec = rest.pop(0)
+        chain = _chain(spec, rest)
+        rest = [s for s in rest if not any(s is c for c in chain)]
+        size = sum(sizes[_identity(s)] for s in [spec, *chain])
         if used + size <= max_broadcast_bytes:
             used += size
-            result = _label(result, spec, F.broadcast(_keyed(result, spec)))
+            for small in [spec, *chain]:
+                result = _label(result, small, F.broadcast(_keyed(result, small)))
         else:
-            # A code that came with the input is counted there, before any join.
-            counted = df if spec.code in df.columns else result
-            result = _label_large(result, spec, counted, hot_rows)
-    return result
+            chains.append((spec, chain))
+    for spec, chain in chains:
+        lookup = _keyed(df, spec).withColumnRenamed(_KEY, _CHAIN_KEY)
+        lookup = enrich_with_lookups(lookup, chain, max_broadcast_bytes - used, hot_rows)
+        lookup = lookup.withColumnRenamed(_CHAIN_KEY, _KEY)
+        hot = _hot_codes(df, spec.code, hot_rows)
+        # Two readings of the rows so far are cheaper than a shuffle of settled rows, but
+        # with several large lookups the readings would double with each.
+        result = _label_large(result, spec.code, lookup, hot, apart=len(chains) == 1)
+    return result.select(*cols(df.columns), *[col(s.label_column) for s in specs])
+
+
+def _refuse_existing_labels(df: DataFrame, specs: Sequence[LookupSpec]) -> None:
+    taken = set(df.columns)
+    for spec in specs:
+        if spec.label_column in taken:
+            raise ValueError(f"there is a column {spec.label_column} already")
+        if spec.code not in taken:
+            raise ValueError(f"there is no code column {spec.code} before its label")
+        taken.add(spec.label_column)
+
+
+def _chain(spec: LookupSpec, later: Sequence[LookupSpec]) -> list[LookupSpec]:
+    """The later specs whose code is the label of ``spec``, or a label on that."""
+    labels, chain = {spec.label_column}, []
+    for other in later:
+        if other.code in labels:
+            chain.append(other)
+            labels.add(other.label_column)
+    return chain
 
 
 def _keyed(df: DataFrame, spec: LookupSpec) -> DataFrame:
@@ -135,35 +170,51 @@ def _label(df: DataFrame, spec: LookupSpec, lookup: DataFrame) -> DataFrame:
     return joined.drop(_KEY)
 
 
-def _label_large(
-    df: DataFrame,
-    spec: LookupSpec,
-    counted: DataFrame,
-    hot_rows: int,
-    max_hot: int = 10_000,
+def _hot_codes(
+    df: DataFrame, code: str, hot_rows: int | None, max_hot: int = 10_000
 ) -> DataFrame:
-    """Left join to a lookup that is too big to broadcast.
+    """The heavy codes, ``max_hot`` at most, as a stored table."""
+    spark = df.sparkSession
+    counts = value_counts(df.where(col(code).isNotNull()), code, ordered=False)
+    limit = hot_rows
+    if limit is None:
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        limit = F.ceil(counts.agg(F.sum("records")).scalar() / F.lit(tasks))
+    hot = hot_keys(counts, [code], limit, max_hot).select(col(code).alias(_HOT_CODE))
+    path = scratch_path(spark, "hot-codes")
+    hot.write.parquet(path)
+    return spark.read.schema(hot.schema).parquet(path)
+
 
-    The labels of the heavy codes, ``max_hot`` at most, are broadcast. The others
-    come by a shuffled join. Rows that are settled without it, because their code
-    is heavy or NULL, pass through it under keys that match nothing and spread
-    them over the tasks. These keys come from the row and the task that read it:
-    copies of one row spread too, and a task that runs again gives the same keys.
+def _label_large(
+    df: DataFrame, code_column: str, lookup: DataFrame, hot: DataFrame, apart: bool
+) -> DataFrame:
+    """Left join to a lookup that is too big to broadcast: ``_KEY`` and its labels.
+
+    The labels of the heavy codes are broadcast. The others come by a shuffled join.
+    Rows that are settled without it, because their code is heavy or NULL, are set
+    ``apart`` and not shuffled. Otherwise they pass through it under keys that match
+    nothing and spread them over the tasks. These keys come from the row and the task
+    that read it: copies of one row spread too, and a task that runs again gives the
+    same keys.
     """
-    lookup = _keyed(df, spec)
-    code, label = col(spec.code), spec.label_column
-    counts = value_counts(counted.where(code.isNotNull()), spec.code, ordered=False)
-    hot = hot_keys(counts, [spec.code], hot_rows, max_hot).select(
-        code.alias(_HOT_CODE)
-    )
-    hot_lookup = lookup.join(
-        F.broadcast(hot), F.col(_KEY) == F.col(_HOT_CODE), "left_semi"
-    )
+    code, labels = col(code_column), [n for n in lookup.columns if n != _KEY]
+    hot_rows = lookup.join(F.broadcast(hot), F.col(_KEY) == F.col(_HOT_CODE), "left_semi")
+    hot_rows = hot_rows.select(_KEY, F.struct(*cols(labels)).alias(_HOT_LABEL))
     hot_labels = hot.join(
-        F.broadcast(hot_lookup), F.col(_HOT_CODE) == F.col(_KEY), "left"
-    ).select(_HOT_CODE, col(label).alias(_HOT_LABEL))
-
+        F.broadcast(hot_rows), F.col(_HOT_CODE) == F.col(_KEY), "left"
+    ).select(_HOT_CODE, _HOT_LABEL)
+    with_hot = df.join(F.broadcast(hot_labels), code == F.col(_HOT_CODE), "left")
     settled = code.isNull() | F.col(_HOT_CODE).isNotNull()
+    hot_values = [F.col(_HOT_LABEL).getField(n).alias(n) for n in labels]
+    if apart:
+        known = with_hot.where(settled).select(*cols(df.columns), *hot_values)
+        others = df.where(code.isNotNull()).join(
+            F.broadcast(hot), code == F.col(_HOT_CODE), "left_anti"
+        )
+        joined = others.join(lookup, code == F.col(_KEY), "left")
+        return known.unionAll(joined.select(*cols(df.columns), *cols(labels)))
+
     hashed = [n for n, dtype in df.dtypes if "map<" not in dtype and dtype != "variant"]
     spread = F.pmod(F.xxhash64(F.spark_partition_id(), *cols(hashed)), F.lit(_SPREAD))
     shuffle_key = F.struct(
@@ -174,14 +225,16 @@ def _label_large(
         F.col(_KEY).alias("code"), F.lit(0).cast("bigint").alias("spread")
     )
     return (
-        df.join(F.broadcast(hot_labels), code == F.col(_HOT_CODE), "left")
-        .withColumn(_SHUFFLE_KEY, shuffle_key)
+        with_hot.withColumn(_SHUFFLE_KEY, shuffle_key)
         .join(
-            lookup.select(lookup_key.alias(_SPREAD_KEY), col(label)),
+            lookup.select(lookup_key.alias(_SPREAD_KEY), *cols(labels)),
             F.col(_SHUFFLE_KEY) == F.col(_SPREAD_KEY),
             "left",
         )
-        .select(*cols(df.columns), F.coalesce(_HOT_LABEL, col(label)).alias(label))
+        .select(
+            *cols(df.columns),
+            *[F.coalesce(v, col(n)).alias(n) for v, n in zip(hot_values, labels)],
+        )
     )
 
 

@@ -25,7 +25,7 @@ def profile_value_counts(
     df: DataFrame,
     columns: Sequence[str] | None = None,
     n: int = 1000,
-    near_unique: Sequence[str] = (),
+    near_unique: Sequence[str] | None = None,
     sample_fraction: float = 0.01,
 ) -> DataFrame:
     """First ``n`` values of each column, in ascending order, with their row counts.
@@ -35,12 +35,17 @@ def profile_value_counts(
     values, it does not pick the most frequent ones.
 
     Columns with few values are counted together, in one scan each for the whole
-    numbers, the doubles and the texts. Near-unique columns (ids) are named in
-    ``near_unique`` and get a scan of that column alone, see
-    :func:`first_value_counts`; so do columns of other types.
+    numbers, the doubles and the texts. Near-unique columns (ids) get a scan of that
+    column alone, see :func:`first_value_counts`; so do columns of other types. They
+    are named in ``near_unique``, or found by one pass of sketches if it is None.
     """
     columns = list(columns or df.columns)
     types = dict(df.dtypes)
+    if near_unique is None:
+        members = {t for family in _FAMILIES.values() for t in family}
+        sketched = [c for c in columns if types[c] in members]
+        found = near_unique_columns(df, sketched).where("near_unique") if sketched else None
+        near_unique = [row["column_name"] for row in found.collect()] if sketched else []
     profiles, alone = [], [c for c in columns if c in set(near_unique)]
     rest = [c for c in columns if c not in alone]
     for as_type, members in _FAMILIES.items():

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from recordlake.operators.counts import value_counts
 from recordlake.operators.profiling import first_value_counts, profile_value_counts
-from recordlake.plans import visits
 from recordlake.sources.readers import read_lake
 from recordlake.sources.writers import write_csv_tables, write_value_counts_csv
 
@@ -18,16 +17,15 @@ def export_column_profile(
     lake_path: str,
     out: str,
     n: int = 1000,
-    near_unique: Sequence[str] = visits.NEAR_UNIQUE_COLUMNS,
+    near_unique: Sequence[str] | None = None,
     mode: str = "errorifexists",
 ) -> None:
     """Write the first ``n`` value counts of all columns: a CSV folder per column.
 
-    One job. Each folder has the columns ``position, value, records``.
+    Each folder has the columns ``position, value, records``. Near-unique columns that
+    are not named (see :data:`visits.NEAR_UNIQUE_COLUMNS`) are found by one more scan.
     """
-    lake = read_lake(spark, lake_path)
-    ids = [c for c in near_unique if c in lake.columns]
-    profile = profile_value_counts(lake, n=n, near_unique=ids)
+    profile = profile_value_counts(read_lake(spark, lake_path), n=n, near_unique=near_unique)
     write_csv_tables(profile, out, "column_name", mode)
 
 
@@ -35,12 +33,12 @@ def export_value_counts(
     df: DataFrame,
     column: str,
     path: str,
-    n: int = 1000,
+    n: int | None = None,
     near_unique: bool = False,
     mode: str = "errorifexists",
 ) -> None:
-    """Write the first ``n`` value counts of one column as ``<column>,count``."""
-    if near_unique:
+    """Write the value counts of one column as ``<column>,count``, the first ``n`` if given."""
+    if near_unique and n is not None:
         counts = first_value_counts(df, column, n, sample_fraction=0.01)
     else:
         counts = value_counts(df, column, ordered=False)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +10,7 @@ from recordlake.functions.columns import cols, partition_condition
 from recordlake.functions.dates import day_number_to_date
 from recordlake.functions.keys import composite_key
 from recordlake.operators.lookups import LookupSpec, enrich_with_lookups
+from recordlake.operators.numeric_types import apply_numeric_types, recommend_numeric_types
 from recordlake.operators.quality import (
     join_preserves_rows,
     key_checks,
@@ -66,26 +68,50 @@ def build_enriched_lake(
     out: str,
     partitions: list[dict] | None = None,
     mode: str = "overwrite",
+    narrow: bool = False,
 ) -> None:
     """Build the enriched lake in one job, or rebuild only the listed partitions.
 
     The lookups are checked first: a repeated key would multiply records. With
     ``partitions`` only those months are read, by pruned directories, and only
     those are replaced, so a failed or late month can be run again.
+
+    ``narrow`` stores whole numbers as ints or bigints, by one more scan of the raw
+    lake's numbers. Months cannot be replaced if the raw lake has since outgrown the
+    types of the enriched one: build that anew.
     """
     require_all_passed(lookup_checks(tables))
     records = read_lake(spark, raw_path)
+    proposals = []
+    if narrow:
+        doubles = set(visits.NUMBER_COLUMNS) - set(visits.PARTITION_BY)
+        numbers = [c for c in visits.ENRICHED_COLUMNS if c in doubles]
+        proposals = recommend_numeric_types(records, numbers).collect()
     if partitions is None:
-        enriched = enriched_records(records, tables)
+        enriched = apply_numeric_types(enriched_records(records, tables), proposals)
         enriched = whole_partition_values(enriched, visits.PARTITION_BY)
         write_lake(enriched, out, visits.PARTITION_BY, mode)
     else:
         records = records.where(partition_condition(partitions))
-        enriched = enriched_records(records, tables)
+        enriched = apply_numeric_types(enriched_records(records, tables), proposals)
         enriched = whole_partition_values(enriched, visits.PARTITION_BY)
+        _refuse_other_types(enriched, out)
         replace_partitions(enriched, out, partitions)
 
 
+def _refuse_other_types(new: DataFrame, out: str) -> None:
+    """Months of one lake have the same types, else it could not be read any more."""
+    try:
+        held = dict(read_lake(new.sparkSession, out).dtypes)
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return
+    other = [f"{n} {held[n]}, not {t}" for n, t in new.dtypes if held.get(n, t) != t]
+    if other:
+        raise ValueError(f"the enriched lake has other types: {'; '.join(other)}")
+
+
 def enriched_lake_checks(raw: DataFrame, enriched: DataFrame) -> DataFrame:
     """Every month kept its rows, and ids are still unique within each month."""
     return join_preserves_rows(raw, enriched, visits.PARTITION_BY).unionAll(

@@ -8,6 +8,10 @@ from itertools import product
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from recordlake.scratch import scratch_path
+
+# Splits whose line counts are broadcast; each takes a path and a few numbers.
+_FEW_SPLITS = 200_000
 
 # Exported CSV: quotes are doubled, blanks at the ends stay, NULL is an empty field and an
 # empty text a pair of quotes.
@@ -139,7 +143,8 @@ def number_lines(lines: DataFrame, keep_position: bool = False) -> DataFrame:
     Gives ``file, line_no, line``, with ``block`` and ``row_id`` if wanted.
 
     Lines are counted per split; a running sum over the splits of a file (one
-    row per split) turns positions within a split into line numbers.
+    row per split) turns positions within a split into line numbers. These sums are
+    stored. Unless there are very many splits they are broadcast, and no text is shuffled.
     """
     earlier = (
         Window.partitionBy("file")
@@ -156,6 +161,12 @@ def number_lines(lines: DataFrame, keep_position: bool = False) -> DataFrame:
             F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"),
         )
     )
+    spark = lines.sparkSession
+    path = scratch_path(spark, "line-counts")
+    blocks.write.parquet(path)
+    blocks = spark.read.schema(blocks.schema).parquet(path)
+    if blocks.count() <= _FEW_SPLITS:
+        blocks = F.broadcast(blocks)
     return lines.join(blocks, ["file", "block"]).select(
         "file",
         (F.col("row_id") - F.col("first_id") + F.col("before") + 1).alias("line_no"),

@@ -130,23 +130,21 @@ def write_value_counts_csv(
     counts: DataFrame,
     column: str,
     path: str,
-    n: int = 1000,
+    n: int | None = None,
     count_name: str = "count",
     mode: str = "errorifexists",
 ) -> None:
-    """Write the first ``n`` rows, by value, of a value count to one headered CSV.
+    """Write a value count as headered CSV, in the order of the values.
 
-    The header is ``<column>,<count_name>``. The row limit is what makes a single
-    file safe. :func:`read_exported` gives back every value as it was.
+    The header is ``<column>,<count_name>``. With ``n`` the first ``n`` rows go to one
+    file, else all rows to as many files as they need. :func:`read_exported` gives back
+    every value as it was.
     """
-    (
-        counts.orderBy(col(column).asc_nulls_first())
-        .limit(n)
-        .select(col(column), F.col("records").alias(count_name))
-        .coalesce(1)
-        .write.mode(mode)
-        .csv(path, **CSV_LAYOUT)
-    )
+    ordered = counts.orderBy(col(column).asc_nulls_first())
+    if n is not None:
+        ordered = ordered.limit(n).coalesce(1)
+    rows = ordered.select(col(column), F.col("records").alias(count_name))
+    rows.write.mode(mode).csv(path, **CSV_LAYOUT)
 
 
 def write_csv_tables(

@@ -77,8 +77,37 @@ def test_large_lookup_with_a_third_of_the_rows_on_one_code(spark, settings):
         "code", "t", F.col("value").alias("label")
     )
     assert row_set(got) == row_set(want)
+    # Settled rows are set apart and not shuffled; the others meet the lookup by code.
     text = plan(got)
-    assert "hashpartitioning(_recordlake_shuffle_key" in text and "SortMergeJoin" in text
+    assert "Union" in text and "SortMergeJoin" in text and "LeftAnti" in text
+    # With two large lookups rows are read once: settled ones pass the shuffle spread out.
+    more = enrich_with_lookups(
+        records, [spec, LookupSpec("code", lookup, "again")], max_broadcast_bytes=0, hot_rows=100
+    )
+    assert row_set(more) == row_set(want.withColumn("again", F.col("label")))
+    assert "hashpartitioning(_recordlake_shuffle_key" in plan(more)
+
+
+@pytest.mark.parametrize("hot_rows", [None, 0, 3])
+def test_chain_of_large_lookups_reads_the_rows_twice_at_most(spark, settings, out, hot_rows):
+    settings("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.range(200).selectExpr("id", "case when id % 5 > 0 then id % 50 end as c0").write.parquet(out)
+    records = want = spark.read.parquet(out)
+    specs = []
+    for k in range(4):
+        # Every other code has a label; the labels have ever fewer values.
+        pairs = [(i, i // 2) for i in range(0, 50 >> k, 1 + k % 2)]
+        table = spark.createDataFrame(pairs, "key bigint, value bigint")
+        specs.append(LookupSpec(f"c{k}", table, f"c{k + 1}"))
+        want = want.join(
+            table.select(F.col("key").alias(f"c{k}"), F.col("value").alias(f"c{k + 1}")),
+            f"c{k}", "left",
+        )
+    got = enrich_with_lookups(records, specs, max_broadcast_bytes=0, hot_rows=hot_rows)
+    scans = [line for line in plan(got).splitlines() if "FileScan" in line and out in line]
+    assert 1 <= len(scans) <= 2
+    assert got.columns == ["id", "c0", "c1", "c2", "c3", "c4"]
+    assert row_set(got) == row_set(want.select(got.columns))
 
 
 def test_heavy_codes_do_not_fill_one_task(spark, settings):

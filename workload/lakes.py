@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from recordlake.functions import cols
@@ -9,6 +10,7 @@ from recordlake.operators import key_counts, repeat_keys
 from recordlake.plans import (
     analyst,
     build_enriched_lake,
+    build_raw_lake,
     enriched_lake_checks,
     ingest_files,
     raw_lake_checks,
@@ -153,13 +155,14 @@ def ingest_monthly_files(spark, sf_dir):
 @query(f"""WITH {VISITS}
 SELECT mode, CAST(i94yr AS INTEGER) AS i94yr, CAST(i94mon AS INTEGER) AS i94mon,
        count(*) * times AS records
-FROM visits, (VALUES ('append', 2), ('replace_partitions', 1)) AS t(mode, times)
+FROM visits,
+     (VALUES ('append', 2), ('replace_partitions', 1), ('overwrite', 1)) AS t(mode, times)
 GROUP BY mode, times, i94yr, i94mon""")
 def overwrite_idempotent(spark, sf_dir):
     """What two runs of one write leave behind."""
     records = whole_partition_values(visit_records(spark, sf_dir), visits.PARTITION_BY)
     counted = None
-    for mode in ("append", "replace_partitions"):
+    for mode in ("append", "replace_partitions", "overwrite"):
         path = scratch_path(spark, mode)
         for _ in range(2):
             write_lake(records, path, visits.PARTITION_BY, mode, rebalance=True)
@@ -183,6 +186,92 @@ def replaced_partitions(spark, sf_dir):
     return key_counts(read_lake(spark, path), visits.PARTITION_BY)
 
 
+@query(f"""WITH {VISITS}
+SELECT CAST(i94yr AS INTEGER) AS i94yr, CAST(i94mon AS INTEGER) AS i94mon, count(*) AS records,
+       true AS refused
+FROM visits GROUP BY i94yr, i94mon""")
+def second_write_refused(spark, sf_dir):
+    """By default a write to a lake that exists fails and leaves it as it is."""
+    path = raw_lake(spark, sf_dir)
+    records = whole_partition_values(visit_records(spark, sf_dir), visits.PARTITION_BY)
+    try:
+        write_lake(records, path, visits.PARTITION_BY)
+        refused = False
+    except AnalysisException as error:
+        refused = error.getCondition() == "PATH_ALREADY_EXISTS"
+    counts = key_counts(read_lake(spark, path), visits.PARTITION_BY, ordered=False)
+    return counts.withColumn("refused", F.lit(refused))
+
+
+@query(f"""WITH {VISITS}
+SELECT CAST(i94yr AS INTEGER) AS i94yr, CAST(i94mon AS INTEGER) AS i94mon, count(*) AS records,
+       count(CASE WHEN i94mon % 2 = 1 THEN visatype END) AS with_extra_column
+FROM visits GROUP BY i94yr, i94mon""")
+def ingest_uneven_files(spark, sf_dir):
+    """Files of odd months have a column more, which the lake keeps."""
+    records, paths = visit_records(spark, sf_dir), []
+    for odd in (0, 1):
+        part = records.where(F.col("i94mon") % 2 == odd)
+        paths.append(scratch_path(spark, "uneven"))
+        write_lake(part.withColumn("validres", F.col("visatype")) if odd else part, paths[-1])
+    out = scratch_path(spark, "ingested")
+    ingest_files(spark, paths, out, partition_by=visits.PARTITION_BY)
+    return read_lake(spark, out).groupBy(*visits.PARTITION_BY).agg(
+        F.count("*").alias("records"), F.count("validres").alias("with_extra_column")
+    )
+
+
+@query(f"""WITH {VISITS}
+SELECT CAST(2016 AS INTEGER) AS i94yr, CAST(i94mon AS INTEGER) AS i94mon,
+       count(*) * CASE WHEN i94mon = 2 THEN 2 ELSE 1 END AS records
+FROM visits GROUP BY i94mon""")
+def rebuild_one_month(spark, sf_dir):
+    """Twelve monthly files, all years taken as one; then February alone, with its rows twice."""
+    base, out = scratch_path(spark, "monthly"), scratch_path(spark, "ingested")
+    records = visit_records(spark, sf_dir).withColumn("i94yr", F.lit(2016.0))
+    for number, name in enumerate(visits.MONTH_NAMES, start=1):
+        month = records.where(F.col("i94mon") == number)
+        month.write.parquet(f"{base}/i94_{name}16_sub.parquet")
+    build_raw_lake(spark, base, out, ["16"])
+    february = records.where("i94mon = 2")
+    february.write.mode("append").parquet(f"{base}/i94_feb16_sub.parquet")
+    build_raw_lake(spark, base, out, ["16"], ["feb"])
+    return key_counts(read_lake(spark, out), visits.PARTITION_BY)
+
+
+@query(f"WITH {enriched()} SELECT * FROM enriched")
+def ingest_csv_files(spark, sf_dir):
+    """CSV with a header, its columns in source order, into the raw and the enriched lake."""
+    csv, raw = scratch_path(spark, "csv"), scratch_path(spark, "ingested")
+    names = [name for name, _ in visits.RAW_COLUMNS]
+    visit_records(spark, sf_dir).select(*cols(names)).write.csv(csv, header=True)
+    ingest_files(
+        spark, [csv], raw, "csv", visits.PARTITION_BY,
+        options={"header": True}, schema=visits.raw_schema(), rebalance=True,
+    )
+    out = scratch_path(spark, "enriched")
+    build_enriched_lake(spark, raw, code_tables(spark, sf_dir), out)
+    return read_lake(spark, out).select(*cols(visits.ENRICHED_COLUMNS))
+
+
+_NARROW = ", ".join(
+    f"CAST({c} AS {'BIGINT' if c == 'admnum' else 'INTEGER'}) AS {c}"
+    for c in visits.ENRICHED_COLUMNS
+    if c in visits.NUMBER_COLUMNS and c not in visits.PARTITION_BY
+)
+
+
+@query(f"WITH {enriched()} SELECT * REPLACE ({_NARROW}) FROM enriched")
+def enriched_lake_narrow(spark, sf_dir):
+    """The enriched lake with whole numbers stored as such, two months of it built again."""
+    raw, out = shared(raw_lake, spark, sf_dir), scratch_path(spark, "enriched")
+    tables = code_tables(spark, sf_dir)
+    build_enriched_lake(spark, raw, tables, out, narrow=True)
+    months = [{"i94yr": 1998, "i94mon": m} for m in (6, 7)]
+    build_enriched_lake(spark, raw, tables, out, partitions=months, narrow=True)
+    return read_lake(spark, out).select(*cols(visits.ENRICHED_COLUMNS))
+
+
 @query(f"WITH {enriched()} SELECT * FROM enriched")
 def enriched_lake_build(spark, sf_dir):
     _, out = enriched_lake(spark, sf_dir)

@@ -11,6 +11,7 @@ from recordlake.operators import (
     profile_value_counts,
     recommend_numeric_types,
     table_overview,
+    table_preview,
 )
 from recordlake.plans import visits
 from workload.registry import query
@@ -49,6 +50,13 @@ def profile_near_unique_column(spark, sf_dir):
     return first_value_counts(items, "l_extendedprice", 500, sample_fraction=0.05)
 
 
+@query("SELECT n_nationkey, n_name, n_regionkey FROM nation LIMIT 100")
+def preview_of_a_short_table(spark, sf_dir):
+    """A preview of more rows than there are is the whole table."""
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    return table_preview(nation, 100)
+
+
 @query("""SELECT column_name, n >= 100 AS near_unique FROM (
   SELECT 'o_orderkey' AS column_name, count(DISTINCT o_orderkey) AS n FROM orders
   UNION ALL SELECT 'o_orderstatus', count(DISTINCT o_orderstatus) FROM orders
