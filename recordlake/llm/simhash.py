@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import combinations
 from math import comb
@@ -13,9 +14,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField
 
-from recordlake.llm.batches import append_columns, quoted, row_keys, stored
+from recordlake.llm.batches import append_columns, quoted, row_keys, steps, stored
 from recordlake.llm.components import components
-from recordlake.llm.words import LOWER, mixed
+from recordlake.llm.words import LOWER, SPACES, mixed, separators, window_hashes, word_bounds, word_hashes
 
 BITS = 64
 SEED = 42
@@ -28,28 +29,41 @@ BLOCK = 8192
 #: Relative costs of dealing out a fingerprint once and of comparing a pair.
 ROW_COST, PAIR_COST = 2.0, 0.005
 
+#: Two sets of shingles are linked if their Jaccard similarity is at least NUM / DEN.
+NUM, DEN = 4, 5
+#: Differing bits of 128 up to which sets that share a rare shingle are compared exactly. Pairs
+#: at the similarity of 0.8 differ in 19 with a standard deviation of 4, unlike texts in 64.
+LOOSE_BITS = 48
+#: Texts in which common shingles are counted, the copies of one that make it common, and the
+#: most of them. They only order the shingles: links do not depend on them.
+ORDER_TEXTS, ORDER_COPIES, ORDER_SHINGLES = 20_000, 8, 100_000
+#: Bytes of shingles in a block of a connected set that is compared exactly.
+SET_BYTES = 32_000_000
 
-def fingerprint(text: str | None, shingle: int, wide: int = 0) -> list[int]:
-    """The 64-bit fingerprint of a text's word shingles, and ``wide`` more of mixed hashes."""
+
+def fingerprint(text: str | None, shingle: int) -> int:
+    """The 64-bit fingerprint of a text's word shingles."""
     words = (text or "").encode().translate(LOWER).split()
     if not words:
-        return [0] * (1 + wide)
+        return 0
     line = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     starts = np.r_[0, ends[:-1] + 1]
     count = max(1, len(words) - shingle + 1)
-    total = np.zeros((1 + wide, BITS), np.int64)
+    total = np.zeros(BITS, np.int64)
     digest, step = xxhash.xxh64_intdigest, 1 << 15
     last = ends[min(shingle, len(words)) - 1 :]
     for first in range(0, count, step):
         bounds = zip(starts[first : min(first + step, count)].tolist(), last[first : first + step].tolist())
         hashes = np.array([digest(line[a:b], SEED) for a, b in bounds], "<u8")
-        for k in range(1 + wide):
-            bits = np.unpackbits(hashes.view(np.uint8), bitorder="little").reshape(-1, BITS)
-            total[k] += bits.sum(0, dtype=np.int64)
-            hashes = mixed(hashes + np.uint64(1))
-    packed = np.packbits(2 * total > count, axis=1, bitorder="little")
-    return packed.view("<u8").ravel().tolist()
+        total += bit_counts(hashes)
+    return int(np.packbits(2 * total > count, bitorder="little").view("<u8")[0])
+
+
+def bit_counts(hashes: np.ndarray) -> np.ndarray:
+    """How many of the hashes have each bit."""
+    bits = np.unpackbits(hashes.view(np.uint8), bitorder="little").reshape(-1, BITS)
+    return bits.sum(0, dtype=np.int64)
 
 
 def signed(value: int) -> int:
@@ -57,19 +71,14 @@ def signed(value: int) -> int:
 
 
 def fingerprints(
-    df: DataFrame, text: str = "text", shingle: int = 4, keep: list[str] | None = None, wide: int = 0
+    df: DataFrame, text: str = "text", shingle: int = 4, keep: list[str] | None = None
 ) -> DataFrame:
-    """Add the fingerprint of every text as a long (``fingerprint``) to the ``keep`` columns (all).
-
-    ``wide`` adds a list of so many further fingerprints of the same shingles (``wide``).
-    """
-    fields = [StructField("fingerprint", LongType()), StructField("wide", ArrayType(LongType(), False))]
+    """Add the fingerprint of every text as a long (``fingerprint``) to the ``keep`` columns (all)."""
 
     def make(texts):
-        made = [[signed(v) for v in fingerprint(t, shingle, wide)] for t in texts]
-        return [[m[0] for m in made], [m[1:] for m in made]][: 1 + bool(wide)]
+        return [[signed(fingerprint(t, shingle)) for t in texts]]
 
-    return append_columns(df, text, fields[: 1 + bool(wide)], make, keep)
+    return append_columns(df, text, [StructField("fingerprint", LongType())], make, keep)
 
 
 @dataclass(frozen=True)
@@ -154,24 +163,20 @@ def partition_plan(sample: np.ndarray, total: int, max_bits: int) -> list[Part]:
 
 @dataclass(frozen=True)
 class Closeness:
-    """When two fingerprints are linked: by their differing bits, and those of the wide ones."""
+    """When two rows of fingerprints are linked: by their differing bits, from a column on."""
 
     max_bits: int
-    max_wide_bits: int | None = None
+    first: int = 0
 
     def __call__(self, values: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
         """values: (count, 1 or more); whether each of ``rows`` is linked with each of ``columns``."""
-        near = np.bitwise_count(values[rows, 0][:, None] ^ values[columns, 0]) <= self.max_bits
-        if self.max_wide_bits is not None:
-            a, b = np.nonzero(near)
-            for first in range(0, len(a), 1 << 18):
-                x, y = a[first : first + (1 << 18)], b[first : first + (1 << 18)]
-                apart = np.bitwise_count(values[rows[x], 1:] ^ values[columns[y], 1:]).sum(1)
-                near[x, y] = (apart <= self.max_wide_bits) | (values[rows[x], 0] == values[columns[y], 0])
-        return near
+        apart = np.zeros((len(rows), len(columns)), np.int16)
+        for k in range(self.first, values.shape[1]):
+            apart += np.bitwise_count(values[rows, k][:, None] ^ values[columns, k])
+        return apart <= self.max_bits
 
 
-def spanning_links(values: np.ndarray, close: Closeness) -> np.ndarray:
+def spanning_links(values: np.ndarray, close: Callable) -> np.ndarray:
     """Pairs of places that connect all values which ``close`` links.
 
     Not all links but a tree over each connected set, so its size never exceeds the number of
@@ -199,7 +204,7 @@ def spanning_links(values: np.ndarray, close: Closeness) -> np.ndarray:
 def fingerprint_links(distinct: DataFrame, close: Closeness) -> DataFrame:
     """Links ``a``, ``b`` that connect the fingerprints which ``close`` links.
 
-    ``distinct`` holds each ``fingerprint`` once, with its ``wide`` list if ``close`` needs it. Every fingerprint is dealt to the bucket of its
+    ``distinct`` holds each ``fingerprint`` once. Every fingerprint is dealt to the bucket of its
     bits in each searched part, and to the buckets within the part's threshold: of a pair, the
     one that lacks the highest differing bit goes to the other. Buckets above :data:`BLOCK` are
     cut into blocks, and each pair of blocks is a bucket of its own, so no task holds more than
@@ -224,39 +229,64 @@ def fingerprint_links(distinct: DataFrame, close: Closeness) -> DataFrame:
             for n, m, f, h in probes
         ])
     )
-    carried = ["fingerprint", "wide"][: 1 + (close.max_wide_bits is not None)]
     dealt = (
-        distinct.select(*carried, probe.alias("p"))
+        distinct.select("fingerprint", probe.alias("p"))
         .where(F.col("fingerprint").bitwiseAND(F.col("p.top")) == 0)
         .select(
             F.col("p.part").alias("part"),
             F.col("fingerprint").bitwiseAND(F.col("p.mask")).bitwiseXOR(F.col("p.flip")).alias("value"),
-            *carried,
+            "fingerprint",
         )
     )
     sizes = dealt.groupBy("part", "value").count().where(F.col("count") > BLOCK)
     blocks = F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")
     large = stored(sizes.select("part", "value", blocks), "large-buckets")
-    cut = dealt.join(large, ["part", "value"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    own = F.pmod(F.xxhash64("fingerprint"), F.col("blocks")).cast("int")
-    cut = cut.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    bucket = ["part", "value", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y")]
-    cut = cut.select(*bucket, *carried)
-    keys = ["part", "value", "x", "y"]
+    dealt = in_blocks(dealt, large, ["part", "value"], "fingerprint")
+
+    def links_of(table, ends):
+        values = columns_of(table, ["fingerprint"])
+        yield from links_of_buckets(values, ends, close)
+
+    return per_bucket(dealt, ["part", "value", "x", "y"], links_of)
+
+
+def in_blocks(dealt: DataFrame, large: DataFrame, keys: list[str], row: str) -> DataFrame:
+    """Add the pair of blocks ``x``, ``y`` that a row meets in its bucket of ``keys``.
+
+    ``large`` has the number of ``blocks`` of the buckets that are cut; a row goes to one of them
+    by its value of ``row`` and meets all.
+    """
+    cut = dealt.join(large, keys, "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    cut = cut.withColumn("own", F.pmod(F.xxhash64(row), F.col("blocks")).cast("int"))
+    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    pair = [F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y")]
+    return cut.select(*dealt.columns, *pair)
+
+
+def per_bucket(cut: DataFrame, keys: list[str], links_of: Callable) -> DataFrame:
+    """The links ``a``, ``b`` that ``links_of`` gives for whole buckets and their ends."""
 
     def verify(batches):
-        held = None
-        for table in batches:
-            table = pa.Table.from_batches([table])
-            held = table if held is None else pa.concat_tables([held, table])
-            if held.num_rows == 0:
+        held, rows = [], 0
+        for batch in batches:
+            if batch.num_rows == 0:
                 continue
-            ends = bucket_ends(held)
+            table = pa.Table.from_batches([batch])
+            ends = bucket_ends(table)
+            if held and any(table.column(k)[0] != held[-1].column(k)[-1] for k in keys):
+                yield from whole(held)
+                held = []
             if len(ends) > 1:  # the last bucket may go on in the next batch
-                yield links_of(held.slice(0, ends[-2]), ends[:-1])
-                held = held.slice(ends[-2])
-        if held is not None and held.num_rows:
-            yield links_of(held, bucket_ends(held))
+                yield from whole([*held, table.slice(0, ends[-2])])
+                held, table = [], table.slice(ends[-2])
+            held.append(table)
+        if held:
+            yield from whole(held)
+
+    def whole(tables):
+        table = pa.concat_tables(tables)
+        for pairs in links_of(table, bucket_ends(table)):
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
     def bucket_ends(table):
         new = np.zeros(table.num_rows - 1, bool)
@@ -265,21 +295,22 @@ def fingerprint_links(distinct: DataFrame, close: Closeness) -> DataFrame:
             new |= column[1:] != column[:-1]
         return np.r_[np.flatnonzero(new) + 1, table.num_rows]
 
-    def links_of(table, ends):
-        values = table.column("fingerprint").to_numpy().astype(np.int64).reshape(-1, 1)
-        if len(carried) > 1:
-            wide = table.column("wide").combine_chunks().flatten().to_numpy()
-            values = np.concatenate([values, wide.reshape(len(values), -1)], 1)
-        unsigned, found = values.view(np.uint64), [np.zeros((0, 2), np.int64)]
-        for a, b in zip([0, *ends[:-1].tolist()], ends.tolist()):
-            if b - a > 1:
-                found.append(values[a:b, 0][spanning_links(unsigned[a:b], close)])
-        pairs = np.concatenate(found)
-        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
-
     return cut.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(verify, "a bigint, b bigint")
 
 
+def columns_of(table: pa.Table, names: list[str]) -> np.ndarray:
+    return np.stack([table.column(n).to_numpy().astype(np.int64) for n in names], 1).view(np.uint64)
+
+
+def links_of_buckets(values: np.ndarray, ends: np.ndarray, close: Callable) -> Iterator[np.ndarray]:
+    """Spanning links of each bucket, as pairs of first columns."""
+    starts = np.r_[0, ends[:-1]]
+    several, found = ends - starts > 1, [np.zeros((0, 2), np.int64)]
+    for a, b in zip(starts[several].tolist(), ends[several].tolist()):
+        found.append(values[a:b, 0][spanning_links(values[a:b], close)].view(np.int64))
+    yield np.concatenate(found)
+
+
 def near_duplicates(
     df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 4, max_bits: int = 4
 ) -> DataFrame:
@@ -296,7 +327,8 @@ def near_duplicates(
     source = df.select(F.col(quoted(key)).alias("key"), F.col(quoted(text)).alias("text"))
     documents = stored(fingerprints(source, "text", shingle, ["key"]), "fingerprints")
     distinct = documents.groupBy("fingerprint").agg(F.min("key").alias("least"))
-    classes = classed(stored(distinct, "distinct-fingerprints"), Closeness(max_bits))
+    distinct = stored(distinct, "distinct-fingerprints")
+    classes = classed(distinct, fingerprint_links(distinct, Closeness(max_bits)))
     found = documents.join(stored(classes, "classes"), "fingerprint")
     return found.select(
         F.col("key").alias(key),
@@ -305,9 +337,9 @@ def near_duplicates(
     )
 
 
-def classed(distinct: DataFrame, close: Closeness) -> DataFrame:
+def classed(distinct: DataFrame, links: DataFrame) -> DataFrame:
     """Each ``fingerprint`` with the smallest ``least`` of its class (``class_least``)."""
-    roots = components(fingerprint_links(distinct, close))
+    roots = components(links)
     rooted = stored(
         distinct.join(roots, F.col("fingerprint") == F.col("node"), "left").select(
             "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")
@@ -318,21 +350,152 @@ def classed(distinct: DataFrame, close: Closeness) -> DataFrame:
     return rooted.join(smallest, "root").select("fingerprint", "class_least")
 
 
-def one_of_each(
-    df: DataFrame,
-    key: str = "doc_id",
-    text: str = "text",
-    shingle: int = 5,
-    max_bits: int = 12,
-    wide: int = 3,
-    max_wide_bits: int = 34,
-) -> DataFrame:
+def shingle_set(text: str | None, shingle: int) -> np.ndarray:
+    """Sorted hashes of a text's distinct word shingles; a shorter text is one shingle."""
+    data = np.frombuffer((text or "").encode().translate(LOWER), np.uint8)
+    words = word_hashes(data, *word_bounds(data, separators(SPACES)))
+    return np.unique(window_hashes(words, max(1, min(shingle, len(words)))))
+
+
+def prefix_size(size: int) -> int:
+    """First shingles of a set, in any one order: sets at the bound share one of them."""
+    return size - (NUM * size + DEN - 1) // DEN + 1 if size else 0
+
+
+def similar_links(nodes: np.ndarray, bits: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
+    """Pairs of nodes that connect all sets whose exact Jaccard similarity reaches the bound."""
+    sizes = np.array([len(s) for s in sets])
+    free, pairs = np.arange(len(sets)), []
+    while len(free):
+        frontier, free = [int(free[0])], free[1:]
+        while frontier and len(free):
+            a = frontier.pop()
+            fits = (NUM * sizes[free] <= DEN * sizes[a]) & (NUM * sizes[a] <= DEN * sizes[free])
+            fits &= np.bitwise_count(bits[free] ^ bits[a]).sum(1) <= LOOSE_BITS
+            hit = np.zeros(len(free), bool)
+            some = np.flatnonzero(fits)
+            for first in range(0, len(some), 256):
+                part = some[first : first + 256]
+                shared = shared_counts(sets[a], [sets[b] for b in free[part].tolist()])
+                hit[part] = (NUM + DEN) * shared >= NUM * (sizes[a] + sizes[free[part]])
+            if hit.any():
+                pairs.append(np.stack([np.full(hit.sum(), nodes[a]), nodes[free[hit]]], 1))
+                frontier += free[hit].tolist()
+                free = free[~hit]
+    return np.concatenate(pairs) if pairs else np.zeros((0, 2), np.int64)
+
+
+def shared_counts(own: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """Shingles that a set shares with each of others; all are sorted, and only one may be empty."""
+    if not len(own):
+        return np.array([0 for _ in others])
+    every = np.concatenate(others)
+    place = np.minimum(np.searchsorted(own, every), len(own) - 1)
+    same = np.r_[0, np.cumsum(own[place] == every)]
+    ends = np.cumsum([len(o) for o in others])
+    return same[ends] - same[np.r_[0, ends[:-1]]]
+
+
+def common_shingles(df: DataFrame, text: str, shingle: int) -> np.ndarray:
+    """Shingles that many of a bounded number of texts hold, sorted."""
+    cut = max(1, df.count() // ORDER_TEXTS)
+    some = df.where(F.pmod(F.col("key_a"), F.lit(cut)) == 0)
+
+    def run(batches):
+        for batch in batches:
+            for step in steps(batch):
+                for text in step.column(0).to_pylist():
+                    found = shingle_set(text, shingle).view(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(found)], names=["shingle"])
+
+    counts = some.select(quoted(text)).mapInArrow(run, "shingle bigint").groupBy("shingle").count()
+    counts = counts.where(F.col("count") >= ORDER_COPIES)
+    rows = counts.orderBy(F.desc("count"), "shingle").limit(ORDER_SHINGLES).collect()
+    return np.sort(np.array([r["shingle"] for r in rows], np.int64))
+
+
+def with_sets(df: DataFrame, shingle: int, common: np.ndarray, keep: list[str]) -> DataFrame:
+    """Add the hash of every text's set of shingles, its size, its 128 bits and its first shingles.
+
+    The order of shingles has the ``common`` ones last, so rows that share a first one are few.
+    """
+    names = ["node", "size", "bits_a", "bits_b"]
+    fields = [*[StructField(n, LongType()) for n in names], StructField("first", ArrayType(LongType(), False))]
+
+    def make(texts):
+        rows = []
+        for text in texts:
+            hashes = shingle_set(text, shingle)
+            bits = [np.packbits(2 * bit_counts(h) > len(h), bitorder="little").view("<i8")[0]
+                    for h in (hashes, mixed(hashes + np.uint64(1)))]
+            own = hashes.view(np.int64)
+            last = np.isin(own, common, assume_unique=True)
+            first = np.r_[own[~last], own[last]][: prefix_size(len(own))]
+            rows.append((signed(xxhash.xxh64_intdigest(hashes.tobytes(), SEED)), len(own), *bits, first.tolist()))
+        return [list(column) for column in zip(*rows)]
+
+    return append_columns(df, "text", fields, make, keep)
+
+
+def similar_sets(distinct: DataFrame, texts: DataFrame, shingle: int, common: np.ndarray) -> DataFrame:
+    """Links ``a``, ``b`` that connect the sets (``node``) of Jaccard similarity :data:`NUM` / :data:`DEN` or more.
+
+    Of such a pair each has one of the other's first shingles among its own first ones, so every
+    pair meets in the bucket of a shingle. There, pairs up to :data:`LOOSE_BITS` differing bits
+    give spanning links; what these connect is then compared by the shingles themselves, which
+    are made again from ``texts`` (``key_a``, ``key_b``, ``text``) for those sets alone. Large
+    buckets and large connected sets are cut into blocks that meet in pairs.
+    """
+    spark = distinct.sparkSession
+    dealt = distinct.select(F.explode("first").alias("shingle"), "node", "bits_a", "bits_b")
+    hot = spark.createDataFrame([(v,) for v in common.tolist()], "shingle bigint")
+    sizes = dealt.join(F.broadcast(hot), "shingle", "leftsemi").groupBy("shingle").count()
+    blocks = F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")
+    large = stored(sizes.where(F.col("count") > BLOCK).select("shingle", blocks), "large-buckets")
+    close = Closeness(LOOSE_BITS, first=1)
+
+    def loose(table, ends):
+        yield from links_of_buckets(columns_of(table, ["node", "bits_a", "bits_b"]), ends, close)
+
+    links = per_bucket(in_blocks(dealt, large, ["shingle"], "node"), ["shingle", "x", "y"], loose)
+    roots = components(links)
+    roots = stored(roots.unionAll(roots.select("root", "root").distinct()).toDF("node", "root"), "loose-roots")
+    columns = ["node", "root", "size", "bits_a", "bits_b", "least.key_a", "least.key_b"]
+    members = stored(distinct.join(roots, "node").select(*columns), "loose-members")
+    sizes = members.groupBy("root").agg(F.sum(8 * F.col("size")).alias("bytes"))
+    blocks = F.ceil(F.col("bytes") / SET_BYTES).cast("int").alias("blocks")
+    large = stored(sizes.where(F.col("bytes") > SET_BYTES).select("root", blocks), "large-sets")
+    found = texts.join(members, ["key_a", "key_b"]).select("text", "node", "root", "bits_a", "bits_b")
+
+    def make(batch_texts):
+        return [[shingle_set(t, shingle).view(np.int64).tolist() for t in batch_texts]]
+
+    shingles = [StructField("shingles", ArrayType(LongType(), False))]
+    found = append_columns(found, "text", shingles, make, ["node", "root", "bits_a", "bits_b"])
+
+    def exact(table, ends):
+        values = columns_of(table, ["node", "bits_a", "bits_b"])
+        lists = table.column("shingles").combine_chunks()
+        if isinstance(lists, pa.ChunkedArray):
+            lists = pa.concat_arrays(lists.chunks)
+        offsets, flat = lists.offsets.to_numpy(), lists.values.to_numpy().view(np.uint64)
+        for a, b in zip([0, *ends[:-1].tolist()], ends.tolist()):
+            # A row that repeats in key and text stands for its set once.
+            rows = a + np.unique(values[a:b, 0], return_index=True)[1]
+            sets = [flat[offsets[i] : offsets[i + 1]] for i in rows.tolist()]
+            yield similar_links(values[rows, 0].view(np.int64), values[rows, 1:], sets)
+
+    return per_bucket(in_blocks(found, large, ["root"], "node"), ["root", "x", "y"], exact)
+
+
+def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5) -> DataFrame:
     """One document of each near-duplicate class, with all its columns.
 
-    Candidates differ in at most ``max_bits`` bits of 64. As that many bits also bring unlike texts
-    together, they are linked only if ``wide`` more fingerprints of the same shingles differ in at
-    most ``max_wide_bits`` bits. Of 192 bits, pairs with a Jaccard similarity of 0.8 differ in 29
-    on average, so 34 keeps most of them; unlike texts differ in some 70.
+    Documents are linked if the sets of their word shingles have a Jaccard similarity of
+    :data:`NUM` / :data:`DEN` or more, and only then: every link is confirmed by the shingles, and
+    candidates come from shared first shingles, which no such pair lacks. Only pairs of those that
+    differ in more than :data:`LOOSE_BITS` bits of a 128-bit fingerprint are passed over, seven
+    standard deviations from the mean at the bound for sets of many shingles.
 
     Of a class the row with the smallest key stays; keys that are null come last, and of rows with
     equal keys one that the rows' own values choose. Of rows that are equal in key and text one
@@ -340,12 +503,16 @@ def one_of_each(
     """
     keys = row_keys(key, text)
     source = df.select(F.col(quoted(key)).alias("key"), F.col(quoted(text)).alias("text"), *keys)
-    documents = fingerprints(source, "text", shingle, ["key", "key_a", "key_b"], wide)
+    common = common_shingles(source, "text", shingle)
+    documents = with_sets(source, shingle, common, ["key", "key_a", "key_b"])
     who = F.struct(F.isnull("key").alias("none"), "key", "key_a", "key_b")
-    documents = stored(documents.select("fingerprint", "wide", who.alias("who")), "fingerprints")
-    # Equal fingerprints are one class; any of their wide ones stands for all, chosen by value.
-    distinct = documents.groupBy("fingerprint").agg(F.min("who").alias("least"), F.min("wide").alias("wide"))
-    classes = classed(stored(distinct, "distinct-fingerprints"), Closeness(max_bits, max_wide_bits))
+    columns = ["node", "size", "bits_a", "bits_b", "first"]
+    documents = stored(documents.select(*columns, who.alias("who")), "shingle-sets")
+    # Equal sets are one class; what is computed from the set is the same in all of them.
+    same = [F.any_value(c).alias(c) for c in columns[1:]]
+    distinct = stored(documents.groupBy("node").agg(F.min("who").alias("least"), *same), "distinct-sets")
+    links = similar_sets(distinct, source.select("key_a", "key_b", "text"), shingle, common)
+    classes = classed(distinct.select(F.col("node").alias("fingerprint"), "least"), links)
     chosen = stored(classes.select("class_least.key_a", "class_least.key_b").distinct(), "chosen")
     row = F.struct(*[F.col(quoted(c)) for c in df.columns]).alias("row")
     left = df.select(row, *keys).join(chosen, ["key_a", "key_b"], "leftsemi")

@@ -225,3 +225,32 @@ def test_a_benchmark_in_blocks_gives_the_same_pairs(spark, documents, monkeypatc
     monkeypatch.setattr(string_tiling, "BLOCK_BYTES", 300)
     assert {tuple(r) for r in string_tiling.contaminations(df, bench).collect()} == whole
     assert len(whole) == 6 and string_tiling.without_contaminated(df, bench).count() == 0
+
+
+def brute_shingles(text):
+    words = (text or "").lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+@pytest.mark.parametrize("limits", [{}, {"BLOCK": 8, "SET_BYTES": 9_000, "ORDER_COPIES": 2}])
+def test_one_of_each_keeps_the_bound_on_both_sides(documents, monkeypatch, limits):
+    for name, value in limits.items():
+        monkeypatch.setattr(simhash, name, value)  # cuts buckets and connected sets into blocks
+    rng = random.Random(4)
+    rows, key = [], 0
+    for group in range(40):
+        base = [f"g{group}w{rng.randrange(5000)}" for _ in range(rng.choice([9, 30, 120, 300]))]
+        for changes in (0, 1, rng.randrange(8), max(1, len(base) // 46), max(1, len(base) // 38)):
+            words = list(base)
+            for place in rng.sample(range(len(base)), min(changes, len(base))):
+                words[place] = f"new{key}"
+            rows.append((key := key + 1, " ".join(words)))
+    heavy = " ".join(f"h{i}" for i in range(100))
+    rows += [(900 + i, f"{heavy} tail{i} of{i} it{i}") for i in range(30)] + [(990, None), (991, "a"), (992, "A")]
+    sets = {k: brute_shingles(t) for k, t in rows}
+    similar = lambda a, b: 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])
+    expected = sorted(set(brute_classes(sets, similar).values()))
+    links = [(a, b) for a in sets for b in sets if a < b and sets[a] and similar(a, b)]
+    near = [len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for a, b in links]
+    assert sum(n < 0.85 for n in near) > 10
+    assert sorted(r["doc_id"] for r in simhash.one_of_each(documents(rows)).collect()) == expected
