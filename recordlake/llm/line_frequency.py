@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections import Counter
 
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
-from recordlake.llm.batches import append_columns, quoted, row_keys, stored
+from recordlake.llm.batches import append_columns, quoted, row_keys, steps, stored
 from recordlake.llm.words import LOWER, SPACES
 
 SYMBOLS = "#*$%&|<>"
@@ -33,6 +34,23 @@ def repeated_words(words: list) -> int:
     return covered
 
 
+def line_hash(line: bytes) -> int | None:
+    """The hash by which lines are compared; None if the line has no word."""
+    found = line.split()
+    if not found:
+        return None
+    key = xxhash.xxh64_intdigest(b" ".join(found).translate(NORMAL))
+    return key - (1 << 64) if key >> 63 else key
+
+
+def without_lines(text: str | None, gone: list[int] | None) -> str | None:
+    """The text without the lines of these hashes; as it is if there are none."""
+    if text is None or not gone:
+        return text
+    hashes = set(gone)
+    return b"\n".join(x for x in text.encode().split(b"\n") if line_hash(x) not in hashes).decode()
+
+
 def figures(texts: list[str | None]) -> list[list]:
     """The base figures of each text, and its distinct normalised lines with their words."""
     rows = []
@@ -42,13 +60,11 @@ def figures(texts: list[str | None]) -> list[list]:
         words = data.split()
         seen, duplicates, lines = set(), 0, {}
         for line in data.split(b"\n"):
-            found = line.split()
-            if found:
+            key = line_hash(line)
+            if key is not None:
                 duplicates += line in seen
                 seen.add(line)
-                key = xxhash.xxh64_intdigest(b" ".join(found).translate(NORMAL))
-                key = key - (1 << 64) if key >> 63 else key
-                lines[key] = lines.get(key, 0) + len(found)
+                lines[key] = lines.get(key, 0) + len(line.split())
         rows.append(
             (
                 len(words),
@@ -87,6 +103,62 @@ def line_quality(
     fails; documents with a null host share one host; the key may be null. Other columns are not
     read. An empty table gives an empty table.
     """
+    limits = min_documents, max_percent, min_kept_percent, min_words, max_repeat_percent
+    columns = [F.col("key").alias(key), *BASE, "n_removed_words", "base_failed", "kept"]
+    return judged(df, key, text, host, *limits).select(*columns)
+
+
+def without_frequent_lines(
+    df: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    host: str = "source",
+    min_documents: int = 10,
+    max_percent: int = 5,
+    min_kept_percent: int = 50,
+    min_words: int = 50,
+    max_repeat_percent: int = 50,
+) -> DataFrame:
+    """The documents that :func:`line_quality` keeps, without the frequent lines of their hosts.
+
+    The columns are those of ``df``; all other lines of a text stay as they are and in order. The
+    lines that leave are those whose words :func:`line_quality` counts.
+    """
+    limits = min_documents, max_percent, min_kept_percent, min_words, max_repeat_percent
+    changed = judged(df, key, text, host, *limits).where("gone is not null or not kept")
+    # Written first, so its true size decides whether the texts are shuffled. Equal rows are judged alike.
+    changed = changed.select("key_a", "key_b", "kept", "gone").dropDuplicates(["key_a", "key_b"])
+    changed = stored(changed, "changed")
+    rest = [c for c in df.columns if c != text]
+    others = F.struct(*[F.col(quoted(c)).alias(f"c{k}") for k, c in enumerate(rest)]).alias("rest")
+    rows = df.select(F.col(quoted(text)).alias("text"), others, *row_keys(key, text, host))
+    rows = rows.join(changed, ["key_a", "key_b"], "left").where("coalesce(kept, true)")
+    rows = rows.select("text", "gone", "rest")
+    schema = StructType([StructField("text", StringType()), rows.schema["rest"]])
+
+    def run(batches):
+        for batch in batches:
+            for step in steps(batch):
+                pairs = zip(step.column(0).to_pylist(), step.column(1).to_pylist())
+                texts = pa.array([without_lines(t, gone) for t, gone in pairs], pa.string())
+                yield pa.RecordBatch.from_arrays([texts, step.column(2)], names=schema.names)
+
+    fields = {c: F.col(f"rest.c{k}") for k, c in enumerate(rest)} | {text: F.col("text")}
+    return rows.mapInArrow(run, schema).select(*[fields[c].alias(c) for c in df.columns])
+
+
+def judged(
+    df: DataFrame,
+    key: str,
+    text: str,
+    host: str,
+    min_documents: int,
+    max_percent: int,
+    min_kept_percent: int,
+    min_words: int,
+    max_repeat_percent: int,
+) -> DataFrame:
+    """Every row's keys, figures and verdict, and the hashes of its frequent lines (``gone``) if it has any."""
     fields = [*[StructField(name, LongType()) for name in BASE], StructField("lines", _LINES)]
     source = df.select(
         F.col(quoted(key)).alias("key"),
@@ -105,14 +177,17 @@ def line_quality(
         .groupBy("key_a", "key_b", "line")
         .agg(F.first("words").alias("words"))
         .groupBy("key_a", "key_b")
-        .agg(F.sum("words").alias("removed"))
+        .agg(F.sum("words").alias("removed"), F.collect_list("line").alias("gone"))
     )
     n_words, lost = F.col("n_words"), F.coalesce("removed", F.lit(0).cast("long"))
     failed = (n_words < min_words) | (
         100 * F.col("n_repeat_words") > max_repeat_percent * n_words
     )
     return measured.join(removed, ["key_a", "key_b"], "left").select(
-        F.col("key").alias(key),
+        "key",
+        "key_a",
+        "key_b",
+        "gone",
         *BASE,
         lost.alias("n_removed_words"),
         failed.alias("base_failed"),

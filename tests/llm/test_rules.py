@@ -10,7 +10,7 @@ from hashlib import sha256
 from pyspark.sql import functions as F
 
 from recordlake.llm import secrets
-from recordlake.llm.line_frequency import line_quality, repeated_words
+from recordlake.llm.line_frequency import line_quality, repeated_words, without_frequent_lines
 from recordlake.llm.url_rules import judged_urls, rule_table
 from tests.helpers import plan
 
@@ -68,6 +68,35 @@ def test_line_quality_with_clashing_columns_and_no_rows(documents):
     assert line_quality(df.limit(0)).count() == 0
 
 
+def test_frequent_lines_leave_the_texts(documents):
+    rng = random.Random(9)
+    rows = []
+    for i in range(40):
+        own = [" ".join(f"w{rng.randrange(900)}" for _ in range(30)) for _ in range(4)]
+        shared = [f"  Page {i} of\tthis  HOST", f"{'menu ' * 3}{i % 7}", "", "once é"]
+        lines = own[:2] + shared[: 1 + i % 4] + own[2:]
+        rows.append((i, "\n".join(lines), "en", "a" if i < 30 else "b"))
+    rows += [(50, "too short", "en", "a"), (51, None, "en", "a"), rows[3], (None, rows[2][1], None, "a")]
+    df = documents(rows).withColumns({"rest": F.lit("r"), "c0": F.lit(1), "gone": F.lit(2), "cleaned": F.lit("t")})
+    found = without_frequent_lines(df, min_documents=5, max_percent=20)
+    assert found.columns == df.columns
+
+    def common(line, host):
+        return host == "a" and (line.startswith(("  Page", "menu")) or line == "once é") or host == "b" and (
+            line.startswith(("  Page", "menu")))
+
+    kept = [r for r in rows if r[0] not in (50, 51)]
+    expected = [
+        (k, "\n".join(x for x in t.split("\n") if not common(x, h)), lang, h) for k, t, lang, h in kept
+    ]
+    got = [(r["doc_id"], r["text"], r["lang"], r["source"]) for r in found.collect()]
+    assert Counter(got) == Counter(expected)
+    quality = line_quality(df, min_documents=5, max_percent=20).where("kept").collect()
+    left = Counter((r["doc_id"], r["n_words"] - r["n_removed_words"]) for r in quality)
+    assert left == Counter((k, len(t.split())) for k, t, *_ in got)
+    assert without_frequent_lines(df.limit(0)).count() == 0
+
+
 def test_repeated_words_overlap():
     assert repeated_words("a a a a".split()) == 4
     assert repeated_words("a b c x a b c".split()) == 6
