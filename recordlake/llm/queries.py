@@ -141,7 +141,7 @@ FROM p JOIN groups USING (html)
 def op5_warc(spark, sf_dir):
     path = scratch_path(spark, "warc")
     warc.write_archives(table(spark, sf_dir, "pages"), path)
-    records = warc.read_archives(spark, path).where("gap is null")
+    records = warc.whole(warc.read_archives(spark, path))
     return records.select(
         F.col("page").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
     )

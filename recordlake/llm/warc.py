@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import base64
 import gzip
+import mmap
 import re
+import tempfile
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -25,13 +27,15 @@ END = b"\r\n\r\n"
 
 #: A record's id holds the page's key.
 RECORD_ID = "<urn:page:{}>"
-#: Bytes of a record's header, and of an unpacked record, that a reader accepts.
-HEADER_BYTES, RECORD_BYTES = 1 << 16, 1 << 30
+#: A line that no header holds: before it a header that has no end is over.
+NEXT_VERSION = re.compile(rb"\nWARC/1\.[01]\r\n")
+#: Bytes of an unpacked member that a reader holds in memory; a longer one goes to a temporary file.
+MEMORY_BYTES = 1 << 26
 #: Stands between records in compressed archives: a member without content, which readers skip.
 EMPTY_MEMBER = gzip.compress(b"", mtime=0)
 
 
-def digest(data: bytes) -> str:
+def digest(data: bytes | memoryview) -> str:
     return base64.b32encode(sha1(data).digest()).decode()
 
 
@@ -118,14 +122,19 @@ class Damaged(Exception):
 @dataclass
 class Record:
     headers: dict[str, str]
-    block: bytes
+    block: memoryview
 
     @property
-    def http(self) -> tuple[dict[str, str], bytes]:
-        head, found, body = self.block.partition(END)
-        if not found:
-            raise Damaged("no HTTP header")
-        return named(head), body
+    def http(self) -> tuple[dict[str, str], memoryview]:
+        looked = 1 << 12
+        while True:
+            some = bytes(self.block[:looked])
+            head = some.find(END)
+            if head >= 0:
+                return named(some[:head]), self.block[head + len(END) :]
+            if looked >= len(self.block):
+                raise Damaged("no HTTP header")
+            looked *= 8
 
 
 def named(head: bytes) -> dict[str, str]:
@@ -138,8 +147,8 @@ def record_at(data: bytes, start: int) -> tuple[Record, int]:
     """The record that begins at a byte, and its end; all its checks hold."""
     if not VERSION.match(data, start):
         raise Damaged("no version line")
-    head = data.find(END, start, start + HEADER_BYTES)
-    if head < 0:
+    head = data.find(END, start)
+    if head < 0 or NEXT_VERSION.search(data, start, head):
         raise Damaged("no end of the header")
     headers = named(data[start:head])
     length = headers.get("content-length", "")
@@ -148,7 +157,7 @@ def record_at(data: bytes, start: int) -> tuple[Record, int]:
     first, end = head + len(END), head + len(END) + int(length)
     if data[end : end + len(END)] != END:
         raise Damaged("the block does not end where it should")
-    record = Record(headers, data[first:end])
+    record = Record(headers, memoryview(data)[first:end])
     check(headers.get("warc-block-digest"), record.block)
     if headers.get("warc-type") == "response":
         http, body = record.http
@@ -158,14 +167,14 @@ def record_at(data: bytes, start: int) -> tuple[Record, int]:
     return record, end + len(END)
 
 
-def check(wanted: str | None, data: bytes) -> None:
+def check(wanted: str | None, data: memoryview) -> None:
     if wanted and wanted.lower().startswith("sha1:") and wanted[5:].upper() != digest(data):
         raise Damaged("a digest differs")
 
 
 def member_at(data: bytes, start: int) -> tuple[list[Record], int]:
     """The records of the compressed member that begins at a byte, and its end."""
-    unpack, parts, size, at = zlib.decompressobj(31), [], 0, start
+    unpack, parts, size, at, file = zlib.decompressobj(31), [], 0, start, None
     try:
         while not unpack.eof:
             if at >= len(data):
@@ -173,11 +182,16 @@ def member_at(data: bytes, start: int) -> tuple[list[Record], int]:
             parts.append(unpack.decompress(data[at : at + (1 << 16)]))
             at += 1 << 16
             size += len(parts[-1])
-            if size > RECORD_BYTES:
-                raise Damaged("the member is too long")
+            if size > MEMORY_BYTES:
+                file = file or tempfile.TemporaryFile()
+                file.writelines(parts)
+                parts = []
     except zlib.error as error:
         raise Damaged("the member is broken") from error
-    content, records, place = b"".join(parts), [], 0
+    if file:
+        file.flush()
+    content = mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ) if file else b"".join(parts)
+    records, place = [], 0
     while place < len(content):
         record, place = record_at(content, place)
         records.append(record)
@@ -257,6 +271,13 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = False) ->
     return files.mapInArrow(run, ARCHIVE)
 
 
+def whole(records: DataFrame) -> DataFrame:
+    """The records of archives that must have no gap: a gap fails the job that meets it."""
+    place = F.concat_ws(" ", F.lit("gap in"), "file", F.lit("from byte"), "start", F.lit("to"), "end")
+    failed = F.raise_error(F.concat_ws(": ", place, "gap")).cast("boolean")
+    return records.where(F.when(F.col("gap").isNull(), F.lit(True)).otherwise(failed))
+
+
 def described(record: Record | None, reason: str, with_payload: bool) -> dict:
     row = dict.fromkeys(
         ("record_type", "page", "url", "payload_bytes", "payload_digest", "refers_to", "payload")
@@ -276,7 +297,7 @@ def described(record: Record | None, reason: str, with_payload: bool) -> dict:
         http, body = record.http
         length = http.get("content-length", "")
         row["payload_bytes"] = int(length) if length.isdecimal() else None
-        row["payload"] = body if with_payload and row["record_type"] == "response" else None
+        row["payload"] = bytes(body) if with_payload and row["record_type"] == "response" else None
     return row
 
 

@@ -80,6 +80,34 @@ def test_salvage_recovers_what_follows_the_damage(compressed):
     assert covered == len(cut)  # every byte is in a record or in a gap
 
 
+@pytest.mark.parametrize("compressed", [True, False])
+def test_long_urls_and_long_members_are_whole_records(spark, out, compressed):
+    rows = [(1, "http://a.com/" + "u" * 70_000, "one"), (2, "\x01" * 30_000, "two"), (3, "v" * 200_000 + "WARC/1.1", "3"),
+            (4, "http://b.com/", "four")]
+    warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string"), out, compressed=compressed)
+    found = warc.whole(warc.read_archives(spark, out, with_payload=True)).collect()
+    assert {r["page"]: bytes(r["payload"]).decode() for r in found} == {p: html for p, _, html in rows}
+    assert {r["page"]: len(r["url"]) for r in found} == {1: 70_013, 2: 90_000, 3: 200_008, 4: 13}
+
+
+def test_long_members_go_to_a_file(monkeypatch):
+    monkeypatch.setattr(warc, "MEMORY_BYTES", 1000)
+    parts = [gzip.compress(record(i, b"x" * size)) for i, size in enumerate([10, 300_000, 20])]
+    found = list(warc.salvage(b"".join(parts)))
+    assert [len(r.http[1]) for _, _, r, _ in found] == [10, 300_000, 20]
+    broken = bytearray(parts[1])
+    broken[-6] ^= 0xFF
+    assert [bool(r) for _, _, r, _ in warc.salvage(bytes(broken) + parts[2])] == [False, True]
+
+
+def test_a_gap_fails_where_archives_must_be_whole(spark, tmp_path):
+    (tmp_path / "a.warc").write_bytes(record(1, b"one") + b"garbage" + record(2, b"two"))
+    records = warc.read_archives(spark, str(tmp_path))
+    assert records.where("gap is null").count() == 2
+    with pytest.raises(Exception, match="gap in"):
+        warc.whole(records).collect()
+
+
 def test_salvage_of_noise():
     rng = random.Random(1)
     noise = bytes(rng.randrange(256) for _ in range(5000)) + b"\x1f\x8b\x08" * 50 + b"\nWARC/1.0\r\n" * 50
