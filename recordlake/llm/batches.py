@@ -34,33 +34,41 @@ def steps(batch: pa.RecordBatch, column: int = 0, limit: int = STEP_BYTES) -> It
 
 def append_columns(
     df: DataFrame,
-    text: str,
+    text: str | Column,
     fields: list[StructField],
     make: Callable[[list], list],
     keep: list[str] | None = None,
 ) -> DataFrame:
-    """Columns computed from one text (or binary) column, a batch at a time.
+    """Columns computed from one text (or binary) column or expression, a batch at a time.
 
     ``make`` gets the values of a step, None for null, and returns one list per field.
-    ``keep`` names the columns that stay (all by default); a kept column with the name of a
-    new one gives way to it. Rows stay where they are: nothing is shuffled.
+    ``keep`` names the columns that stay (all by default), whatever their names; a kept column
+    with the name of a new one gives way to it. Rows stay where they are: nothing is shuffled.
     """
-    new = {field.name for field in fields}
+    new = [field.name for field in fields]
     kept = [c for c in (df.columns if keep is None else keep) if c not in new]
-    schema = StructType([df.schema[c] for c in kept] + fields)
+    # Inside the task columns go by place, so no name of theirs can clash or need quotes.
+    places = [f"kept_{i}" for i in range(len(kept))]
+    made_places = [f"made_{i}" for i in range(len(fields))]
+    schema = StructType(
+        [StructField(place, df.schema[c].dataType) for place, c in zip(places, kept)]
+        + [StructField(place, field.dataType) for place, field in zip(made_places, fields)]
+    )
     types = [pa_type(field) for field in fields]
 
     def run(batches):
-        names = kept + [field.name for field in fields]
         for batch in batches:
             for step in steps(batch):
                 made = make(step.column(0).to_pylist())
                 arrays = [pa.array(values, type=t) for values, t in zip(made, types)]
-                yield pa.RecordBatch.from_arrays(step.columns[1:] + arrays, names=names)
-
-    # The text comes first under a name of its own, so it may also be one of the kept columns.
-    source = df.select(df[quoted(text)].alias("text read by the operator"), *cols(kept))
-    return source.mapInArrow(run, schema)
+                yield pa.RecordBatch.from_arrays(step.columns[1:] + arrays, names=places + made_places)
+
+    source = df.select(
+        (df[quoted(text)] if isinstance(text, str) else text).alias("text"),
+        *[column.alias(place) for column, place in zip(cols(kept), places)],
+    )
+    renamed = [F.col(place).alias(name) for place, name in zip(places + made_places, kept + new)]
+    return source.mapInArrow(run, schema).select(*renamed)
 
 
 def pa_type(field: StructField) -> pa.DataType:

@@ -9,6 +9,7 @@ from recordlake.llm import (
     language,
     line_frequency,
     passages,
+    periodic_runs,
     secrets,
     simhash,
     string_tiling,
@@ -193,3 +194,11 @@ def op9_string_tiling(spark, sf_dir):
 def op10_token_counts(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
     return token_counts.token_counts(documents, vocabulary("byte_bpe_50k.json"), keep=["doc_id"])
+
+
+@query()
+def op13_periodic_runs(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    text = periodic_runs.planted(F.col("text"), F.col("doc_id"))
+    found = periodic_runs.with_periodic_runs(documents, text, keep=["doc_id"])
+    return periodic_runs.run_digests(found)
