@@ -14,6 +14,7 @@ from recordlake.llm import (
     simhash,
     string_tiling,
     token_counts,
+    token_shards,
     url_rules,
     warc,
     word_bpe,
@@ -196,6 +197,15 @@ def op10_token_counts(spark, sf_dir):
     return token_counts.token_counts(documents, vocabulary("byte_bpe_50k.json"), keep=["doc_id"])
 
 
+@query()
+def op12_token_shards(spark, sf_dir):
+    path = scratch_path(spark, "token-shards")
+    documents = table(spark, sf_dir, "documents")
+    token_shards.write_token_shards(documents, path, vocabulary("byte_bpe_50k.json"))
+    found = token_shards.read_token_shards(spark, path)
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 @query()
 def op13_periodic_runs(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")

@@ -1,0 +1,155 @@
+"""Token shards against the tokenizers library, and grammars against what they stand for."""
+
+from __future__ import annotations
+
+import random
+from zlib import crc32
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from recordlake.llm import queries
+from recordlake.llm.library_tokens import LibraryEncoder
+from recordlake.llm.token_shards import (
+    compressed,
+    ids_between,
+    packed,
+    read_token_shards,
+    unpacked,
+    write_token_shards,
+)
+from tests.llm.test_tokens import samples
+
+tokenizers = pytest.importorskip("tokenizers")
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def library(vocabulary):
+    return tokenizers.Tokenizer.from_file(vocabulary("byte_bpe_50k.json"))
+
+
+def test_chunks_are_encoded_as_whole_texts(vocabulary, library):
+    rng = random.Random(1)
+    parts = [
+        "word", "word,", "Word.\nNext", "it's", "'s", "a\n\nb", "\t", " ", "  ", "   ", "\n", " \n", "\n ",
+        "x y", " ", "é.", "ǿ|", "ɖ.", "ߐ.", "١٢.", "3.14,", "<|endoftext|>", "<|endoftext", "日本。",
+        "\x1c", "\x85", "a" * 60, "b" * 70 + ".\nc", "!", ".\n", "\n.", "(x)", '"q"', "don't.", "\U0001F600", "",
+    ]
+    texts = samples()
+    for _ in range(1500):
+        glue = rng.choice(["", " ", " ", " ", "\n"])
+        texts.append(glue.join(rng.choice(parts) for _ in range(rng.randrange(1, 12))))
+    encoder = LibraryEncoder(vocabulary("byte_bpe_50k.json"))
+    wanted = library.encode_batch(texts, add_special_tokens=False)
+    for _ in range(2):  # the second time from memory
+        for text, ids, one in zip(texts, encoder.encode(texts), wanted):
+            assert np.frombuffer(ids, "<u4").tolist() == one.ids, ascii(text)
+    assert encoder.encode([None]) == [b""] and encoder.encode([]) == []
+
+
+def test_memory_is_bounded(vocabulary, library, monkeypatch):
+    monkeypatch.setattr("recordlake.llm.library_tokens.REMEMBERED", 50)
+    encoder = LibraryEncoder(vocabulary("byte_bpe_50k.json"))
+    for k in range(20):
+        text = " ".join(f"w{k}x{i}" for i in range(40)) + " the end"
+        assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == library.encode(text).ids
+    assert len(encoder.known) <= 100 and len(encoder.pieces) <= 100
+
+
+def sequences():
+    rng = np.random.default_rng(2)
+    yield np.zeros(0, "<u4")
+    yield np.array([7], "<u4")
+    for n in (2, 3, 31, 32, 33, 1000, 4097):
+        yield np.full(n, 50256, "<u4")
+    yield np.tile(np.array([1, 2, 3], "<u4"), 400)
+    yield np.tile(np.array([5, 5, 5, 9], "<u4"), 300)
+    for high in (2, 3, 10, 300):
+        yield rng.integers(0, high, 6000).astype("<u4")
+    yield np.minimum(rng.zipf(1.3, 20000), 50000).astype("<u4")
+
+
+@pytest.mark.parametrize("min_pairs", [2, 3, 16])
+def test_grammars_expand_to_their_sequence(min_pairs):
+    rng = np.random.default_rng(4)
+    for ids in sequences():
+        grammar = compressed(ids, min_pairs)
+        assert grammar.expanded(grammar.symbols).tolist() == ids.tolist()
+        base = len(grammar.alphabet)
+        for k, (a, b) in enumerate(grammar.rules.tolist()):
+            assert max(a, b) < base + k
+            assert grammar.lengths[base + k] == grammar.lengths[a] + grammar.lengths[b]
+        assert len(grammar.symbols) <= max(1, len(ids))
+        for a, b in np.sort(rng.integers(0, len(ids) + 3, (20, 2)), axis=1):
+            assert grammar.between(a, min(b, len(ids))).tolist() == ids[a:b].tolist()
+
+
+def test_no_frequent_pair_is_left():
+    for ids in sequences():
+        symbols = compressed(ids, 16).symbols.tolist()
+        counts, last = {}, None
+        for i, pair in enumerate(zip(symbols, symbols[1:])):
+            if last == (pair, i - 1) and pair[0] == pair[1]:
+                last = None  # the middle of a run counts once
+                continue
+            counts[pair] = counts.get(pair, 0) + 1
+            last = (pair, i)
+        assert max(counts.values(), default=0) < 16
+
+
+def test_texts_that_repeat_take_few_symbols():
+    ids = np.tile(np.arange(500, dtype="<u4"), 200)
+    grammar = compressed(ids)
+    assert len(grammar.symbols) < 1000 and grammar.lengths.max() >= 250
+
+
+def test_numbers_in_the_file_format():
+    for values in ([], [0, 65535], [65536], [1 << 32, 5]):
+        assert unpacked(packed(np.array(values, np.int64))).tolist() == values
+    assert packed(np.array([1, 2])) == b"\x02\x01\x00\x02\x00"
+
+
+def test_shards_of_a_table(spark, documents, vocabulary, library, out):
+    rng = random.Random(5)
+    texts = [(k, " ".join(rng.choice(["red", "blue", "a.", "b,"]) for _ in range(k))) for k in range(60)]
+    rows = [*texts, (7, "other"), (7, "other"), (None, "no key"), (70, None), (71, ""), (72, "x " * 5000)]
+    df = documents(rows).withColumns({"a.b": F.lit(1), "key": F.lit(2), "place": F.lit(3)})
+    path = vocabulary("byte_bpe_50k.json")
+    write_token_shards(df, out, path, shard_ids=500)
+    assert spark.read.parquet(out).count() > 4
+    found = read_token_shards(spark, out).orderBy("start").collect()
+    assert [r["doc_id"] for r in found] == sorted((r[0] for r in rows), key=lambda k: (k is not None, k or 0))
+    at, listed = 0, []
+    for r in found:
+        ids = np.frombuffer(r["ids"], "<u4").tolist()
+        assert (r["start"], r["n_tokens"], ids[-1]) == (at, len(ids), 0)
+        at += len(ids)
+        listed += ids
+        known = [t for k, t in rows if k == r["doc_id"]]
+        assert ids[:-1] in [library.encode(t or "").ids for t in known]
+    for first, stop in ((0, 10), (3, 3), (480, 1700), (at - 3, at + 50), (at, at + 1)):
+        some = ids_between(spark, out, first, stop).orderBy("place").collect()
+        assert [tuple(r) for r in some] == list(enumerate(listed))[first:stop]
+
+
+def test_an_empty_table_and_other_keys(spark, documents, vocabulary, out):
+    path = vocabulary("byte_bpe_50k.json")
+    write_token_shards(documents([]), out, path)
+    assert read_token_shards(spark, out).count() == 0
+    named = documents([(1, "b"), (2, "a")]).select(F.col("text").alias("the key.x"), "text")
+    write_token_shards(named, out + "-names", path, key="the key.x")
+    found = read_token_shards(spark, out + "-names", "name").orderBy("start").collect()
+    assert [(r["name"], r["start"], r["n_tokens"]) for r in found] == [("a", 0, 2), ("b", 2, 2)]
+
+
+def test_the_query_against_the_library(spark, library):
+    found = queries.QUERIES["op12_token_shards"](spark, SF_DIR).orderBy("doc_id").collect()
+    rows = queries.table(spark, SF_DIR, "documents").orderBy("doc_id").select("doc_id", "text").collect()
+    at, wanted = 0, []
+    for one, (key, _) in zip(library.encode_batch([r[1] or "" for r in rows], add_special_tokens=False), rows):
+        ids = np.array([*one.ids, 0], "<u4")
+        wanted.append((key, at, len(ids), crc32(ids.tobytes())))
+        at += len(ids)
+    assert [tuple(r) for r in found] == wanted
