@@ -17,6 +17,7 @@ from recordlake.llm import (
     token_shards,
     url_rules,
     warc,
+    whitening,
     word_bpe,
 )
 from recordlake.scratch import scratch_path
@@ -197,6 +198,11 @@ def op10_token_counts(spark, sf_dir):
     return token_counts.token_counts(documents, vocabulary("byte_bpe_50k.json"), keep=["doc_id"])
 
 
+@query()
+def op11_whitening(spark, sf_dir):
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 @query()
 def op12_token_shards(spark, sf_dir):
     path = scratch_path(spark, "token-shards")
