@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from recordlake.functions.columns import literal_rows
 from recordlake.functions.text import code_of_line, has_assignment, label_of_line
+from recordlake.scratch import scratch_path
 from recordlake.sources.readers import read_lines
 
 # Up to this many sections, over all files, the bounds are broadcast.
@@ -71,15 +72,9 @@ def _attach(lines: DataFrame, bounds: DataFrame, few_bounds: bool) -> DataFrame:
     return lines.join(per_split, ["file", "block"])
 
 
-def section_bounds(
-    lines: DataFrame, sections: Sequence[Section], few_bounds: bool
-) -> DataFrame:
-    """``file, section, first, last``: positions of the start and the end line.
-
-    ``last`` is NULL where a section has no end line. A section that a file does
-    not have gives no row.
-    """
-    starts = (
+def section_starts(lines: DataFrame, sections: Sequence[Section]) -> DataFrame:
+    """``file, section, end_line, first``: where the sections of each file begin."""
+    return (
         lines.where(F.col("line").isin([s.start for s in sections]))
         .select(
             "file",
@@ -89,6 +84,18 @@ def section_bounds(
         .groupBy("file", "section", "end_line")
         .agg(F.min("position").alias("first"))
     )
+
+
+def section_bounds(
+    lines: DataFrame, sections: Sequence[Section], few_bounds: bool, starts: DataFrame | None = None
+) -> DataFrame:
+    """``file, section, first, last``: positions of the start and the end line.
+
+    ``last`` is NULL where a section has no end line. A section that a file does
+    not have gives no row. ``starts`` saves looking for them (see :func:`section_starts`).
+    """
+    if starts is None:
+        starts = section_starts(lines, sections)
     ends = (
         _attach(
             lines.where(F.col("line").isin([s.end for s in sections])),
@@ -110,11 +117,16 @@ def section_lines(
     sections: Sequence[Section],
     max_broadcast_sections: int = MAX_BROADCAST_SECTIONS,
 ) -> DataFrame:
-    """The lines within the sections of all files: ``file, section, block, row_id, line``."""
+    """The lines within the sections of all files: ``file, section, block, row_id, line``.
+
+    Where sections begin is stored first; how many begin decides whether bounds are broadcast.
+    """
     lines = read_lines(spark, path)
-    # The file list is known to the driver already: it bounds the sections.
-    few_bounds = len(lines.inputFiles()) * len(sections) <= max_broadcast_sections
-    bounds = section_bounds(lines, sections, few_bounds)
+    found, place = section_starts(lines, sections), scratch_path(spark, "section-starts")
+    found.write.parquet(place)
+    starts = spark.read.schema(found.schema).parquet(place)
+    few_bounds = starts.count() <= max_broadcast_sections
+    bounds = section_bounds(lines, sections, few_bounds, starts)
     inside = (_position() > F.col("first")) & (
         F.col("last").isNull() | (_position() < F.col("last"))
     )

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recordlake.functions.columns import col, cols, literal_rows, quoted
@@ -53,6 +53,7 @@ def lake_checks(
     unique_column: str,
     expected_columns: int,
     expected_partitions: list[dict] | None = None,
+    column_counts: DataFrame | None = None,
 ) -> DataFrame:
     """Per partition: column count, not empty, and a column unique within it.
 
@@ -60,6 +61,11 @@ def lake_checks(
     value, so a large partition is spread over the tasks. A partition listed in
     ``expected_partitions`` that has no rows fails, and so does one that has rows but
     is not listed; without the list, the partitions found are checked.
+
+    ``column_counts`` gives the columns that the input files of each partition had (see
+    :func:`recordlake.sources.column_counts`), a row per partition, which is broadcast: they
+    are counted in place of the frame's, and a partition without a row fails. The frame itself
+    has the same columns for all partitions, whatever the files held.
     """
     stats = df.groupBy(*cols(partition_by)).agg(
         F.count("*").alias("n_rows"),
@@ -85,6 +91,14 @@ def lake_checks(
             *[F.coalesce(n, F.lit(0).cast("bigint")).alias(n) for n in ("n_rows", "n_values")],
             F.coalesce("listed", F.lit(False)).alias("listed"),
         )
+    n_columns = F.lit(len(df.columns))
+    if column_counts is not None:
+        told = F.broadcast(column_counts).alias("told")
+        same = [
+            F.col(f"told.{quoted(n)}").eqNullSafe(F.col(f"stats.{quoted(n)}")) for n in partition_by
+        ]
+        stats = stats.alias("stats").join(told, same, "left").select("stats.*", "told.n_columns")
+        n_columns = F.col("n_columns")
     subject = partition_name(partition_by)
     n_rows = F.col("n_rows")
     wanted_rows = F.greatest(n_rows, F.lit(1))
@@ -92,7 +106,7 @@ def lake_checks(
         wanted_rows = F.when(F.col("listed"), wanted_rows).otherwise(F.lit(0).cast("bigint"))
     return _rows(
         stats,
-        _check("column_count", subject, F.lit(len(df.columns)), F.lit(expected_columns)),
+        _check("column_count", subject, n_columns, F.lit(expected_columns)),
         _check("not_empty", subject, n_rows, wanted_rows),
         _check(f"unique_{unique_column}", subject, F.col("n_values"), n_rows),
     )
@@ -250,3 +264,51 @@ def append_check_results(
 
 def read_check_history(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
+
+
+def compare_check_runs(history: DataFrame) -> DataFrame:
+    """Each check result beside that of the last earlier run of the same check and subject.
+
+    Adds ``previous_run``, ``previous_observed``, ``change`` (of the observed value), ``status``
+    and ``failing_since``. ``status`` is ``passed``, ``failed`` (for the first time known), ``fails
+    again``, ``recovered`` or ``still failing``; ``failing_since`` is the time of the first of
+    the failures that reach up to this one without a passed run in between.
+
+    Runs are ordered by ``run_time`` and not by their place in the history, so a run that is
+    appended late stands where it belongs; of runs at one time the ``run_id`` decides. A result
+    that was appended twice counts once. The window of a check and subject has a row per run.
+    """
+    runs = history.select("run_id", "run_time", *CHECK_COLUMNS).distinct()
+    order = Window.partitionBy("check", "subject").orderBy("run_time", "run_id")
+    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    failed = ~F.col("passed")
+    placed = runs.withColumns(
+        {
+            "previous_run": F.lag("run_id").over(order),
+            "previous_observed": F.lag("observed").over(order),
+            "previous_passed": F.lag("passed").over(order),
+            "failed_before": F.coalesce(F.bool_or(failed).over(earlier), F.lit(False)),
+            "passes": F.count_if(F.col("passed")).over(so_far),
+        }
+    )
+    streak = Window.partitionBy("check", "subject", "passes")
+    first = F.min(F.when(failed, F.col("run_time"))).over(streak)
+    before_failed = F.coalesce(~F.col("previous_passed"), F.lit(False))
+    status = (
+        F.when(F.col("passed"), F.when(before_failed, "recovered").otherwise("passed"))
+        .when(before_failed, "still failing")
+        .when(F.col("failed_before"), "fails again")
+        .otherwise("failed")
+    )
+    return placed.select(
+        "run_id", "run_time", *CHECK_COLUMNS, "previous_run", "previous_observed",
+        (F.col("observed") - F.col("previous_observed")).alias("change"),
+        status.alias("status"),
+        F.when(failed, first).alias("failing_since"),
+    )
+
+
+def new_failures(history: DataFrame) -> DataFrame:
+    """The results with which a check began to fail, first or again."""
+    return compare_check_runs(history).where(F.col("status").isin("failed", "fails again"))

@@ -15,9 +15,12 @@ from recordlake.plans.code_lookups import (
 )
 from recordlake.plans.column_profile import export_column_profile, export_value_counts
 from recordlake.plans.enriched_lake import (
+    CARRIED_COLUMNS,
     build_enriched_lake,
+    enriched_backfill_plan,
     enriched_lake_checks,
     enriched_records,
+    heal_enriched_lake,
     lookup_checks,
     lookup_specs,
 )
@@ -30,14 +33,17 @@ from recordlake.plans.raw_lake import (
 from recordlake.plans.studies import key_study, mode_port_counts, port_presence_by_mode
 
 __all__ = [
+    "CARRIED_COLUMNS",
     "build_enriched_lake",
     "build_raw_lake",
     "code_table_checks",
+    "enriched_backfill_plan",
     "enriched_lake_checks",
     "enriched_records",
     "export_code_tables",
     "export_column_profile",
     "export_value_counts",
+    "heal_enriched_lake",
     "ingest_files",
     "key_study",
     "label_counts",

@@ -16,14 +16,13 @@ def export_column_profile(
     spark: SparkSession,
     lake_path: str,
     out: str,
-    n: int = 1000,
+    n: int | None = None,
     near_unique: Sequence[str] | None = None,
     mode: str = "errorifexists",
 ) -> None:
-    """Write the first ``n`` value counts of all columns: a CSV folder per column.
+    """Write the value counts of all columns, the first ``n`` of each if given: a CSV folder per column.
 
-    Each folder has the columns ``position, value, records``. Near-unique columns that
-    are not named (see :data:`visits.NEAR_UNIQUE_COLUMNS`) are found by one more scan.
+    Each folder has the columns ``position, value, records``. See :func:`profile_value_counts`.
     """
     profile = profile_value_counts(read_lake(spark, lake_path), n=n, near_unique=near_unique)
     write_csv_tables(profile, out, "column_name", mode)

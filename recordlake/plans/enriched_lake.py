@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 from recordlake.functions.columns import cols, partition_condition
 from recordlake.functions.dates import day_number_to_date
 from recordlake.functions.keys import composite_key
+from recordlake.operators.backfill import backfill_plan, to_rebuild
 from recordlake.operators.lookups import LookupSpec, enrich_with_lookups
 from recordlake.operators.numeric_types import apply_numeric_types, recommend_numeric_types
 from recordlake.operators.quality import (
@@ -99,14 +102,19 @@ def build_enriched_lake(
         replace_partitions(enriched, out, partitions)
 
 
-def _refuse_other_types(new: DataFrame, out: str) -> None:
-    """Months of one lake have the same types, else it could not be read any more."""
+def _lake_if_built(spark: SparkSession, path: str) -> DataFrame | None:
     try:
-        held = dict(read_lake(new.sparkSession, out).dtypes)
+        return read_lake(spark, path)
     except AnalysisException as error:
         if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
-        return
+        return None
+
+
+def _refuse_other_types(new: DataFrame, out: str) -> None:
+    """Months of one lake have the same types, else it could not be read any more."""
+    lake = _lake_if_built(new.sparkSession, out)
+    held = dict(lake.dtypes) if lake is not None else {}
     other = [f"{n} {held[n]}, not {t}" for n, t in new.dtypes if held.get(n, t) != t]
     if other:
         raise ValueError(f"the enriched lake has other types: {'; '.join(other)}")
@@ -117,3 +125,48 @@ def enriched_lake_checks(raw: DataFrame, enriched: DataFrame) -> DataFrame:
     return join_preserves_rows(raw, enriched, visits.PARTITION_BY).unionAll(
         unique_in_partition(enriched, visits.PARTITION_BY, visits.RECORD_ID)
     )
+
+
+#: Columns that the enriched lake takes over from the raw one as they are.
+CARRIED_COLUMNS = tuple(
+    name
+    for name, _ in visits.RAW_COLUMNS
+    if name in visits.ENRICHED_COLUMNS and name not in visits.PARTITION_BY
+)
+
+
+def enriched_backfill_plan(
+    spark: SparkSession, raw_path: str, out: str, columns: Sequence[str] = (visits.RECORD_ID,)
+) -> DataFrame:
+    """The state of every month of the enriched lake beside the raw one.
+
+    By default records are told apart by their ids; :data:`CARRIED_COLUMNS` compares all values
+    that both lakes hold, by a scan of all of them. See :func:`backfill_plan`.
+    """
+    raw = read_lake(spark, raw_path)
+    return backfill_plan(raw, _lake_if_built(spark, out), visits.PARTITION_BY, columns)
+
+
+def heal_enriched_lake(
+    spark: SparkSession,
+    raw_path: str,
+    tables: dict[str, DataFrame],
+    out: str,
+    narrow: bool = False,
+    columns: Sequence[str] = (visits.RECORD_ID,),
+) -> list[dict]:
+    """Build again the months of the enriched lake that do not follow from the raw one, and no others.
+
+    Missing, short, doubled and changed months are replaced, and months that the raw lake no longer
+    has are emptied. Returns the months done, with their former state and counts; a second call
+    returns none. A call that failed half-way is repeated: what is done already is complete then.
+    """
+    plan = to_rebuild(enriched_backfill_plan(spark, raw_path, out, columns))
+    # Months of a lake: a short list, as the directories that are replaced.
+    damaged = [row.asDict() for row in plan.orderBy(*cols(visits.PARTITION_BY)).collect()]
+    if damaged:
+        months = [{n: month[n] for n in visits.PARTITION_BY} for month in damaged]
+        if any(None in month.values() for month in months):
+            raise ValueError("records without a year or month belong to no partition that can be built")
+        build_enriched_lake(spark, raw_path, tables, out, partitions=months, narrow=narrow)
+    return damaged

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
 from itertools import product
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from recordlake.scratch import scratch_path
+from recordlake.sources.layouts import file_layouts, has_header, read_layout, united
 
 # Splits whose line counts are broadcast; each takes a path and a few numbers.
 _FEW_SPLITS = 200_000
@@ -44,25 +44,35 @@ def read_files(
     """Read many files of any installed format as one frame, hence one job.
 
     Every file is read with its own columns; a column that a file lacks is NULL
-    there. Parquet and ORC files are compared in one job, paths of other formats are
+    there. Parquet, ORC and JSON files are compared by Spark in one job. Of CSV files with
+    a header one job reads the first lines, and files with equal headers share a scan, so
+    the plan grows with the headers and not with the files. Paths of other formats are
     united by column name. ``same_schema=True`` promises that all files have the
     columns of the first and saves the comparison; other columns would be lost.
 
-    A given schema holds for all files. For CSV with a header it is checked against
-    the names in each header, so columns are never taken by position.
+    A given schema holds for all files. CSV files with a header are read by the names in
+    their headers, whatever their order; the schema's types go by name.
     """
     options = {k.lower(): v for k, v in (options or {}).items()}
-    if schema is not None and fmt == "csv" and str(options.get("header")).lower() == "true":
-        options.setdefault("enforceschema", False)
     reader = spark.read.format(fmt).options(**options)
+    if same_schema or not paths:
+        return (reader if schema is None else reader.schema(schema)).load(paths)
+    if has_header(fmt, options):
+        layouts = file_layouts(spark, paths, fmt, options)
+        frames = [read_layout(spark, layout, fmt, options, schema) for layout in layouts]
+        if schema is not None:
+            # The schema's columns in its order, also those that no file has.
+            frames = [spark.createDataFrame([], schema), *frames]
+        elif not frames:
+            return reader.load(paths)
+        return united(frames)
     if schema is not None:
         return reader.schema(schema).load(paths)
-    if same_schema or not paths:
-        return reader.load(paths)
     if fmt in ("parquet", "orc"):
         return reader.option("mergeSchema", True).load(paths)
-    frames = [reader.load(path) for path in paths]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    if fmt in ("json", "text"):
+        return reader.load(paths)
+    return united([reader.load(path) for path in paths])
 
 
 def read_lake(spark: SparkSession, path: str) -> DataFrame:

@@ -52,7 +52,45 @@ def test_profile_keeps_the_first_n_values(mixed):
 
 
 def test_profile_of_many_values_is_cut_before_the_shuffle(mixed):
-    assert plan(profile_value_counts(mixed, n=2)).count("WindowGroupLimit") == 2 * 3
+    # All columns are one scan, whose rows are cut per task and then per column.
+    assert plan(profile_value_counts(mixed, n=2)).count("WindowGroupLimit") == 2
+
+
+def test_all_columns_are_one_scan(spark, out):
+    spark.range(5000).selectExpr(
+        "id", "cast(id as double) as d", "cast(id as decimal(20,3)) as m", "sha2(string(id), 256) as s", "id % 3 as low",
+        "cast(id as timestamp) as ts", "date_from_unix_date(int(id)) as t", "id % 2 = 0 as b", "cast(id / 7 as float) as f",
+    ).write.parquet(out)
+    df = spark.read.parquet(out)
+    first = profile_value_counts(df, n=20, sample_fraction=0.1)
+    text = plan(first)
+    assert text.count("FileScan") == 1 and text.count("Exchange hashpartitioning") == 2
+    for name in df.columns:
+        wanted = rows(df.groupBy(name).count().orderBy(name).limit(20).select(F.col(name).cast("string"), "count"))
+        assert [v[1:] for v in values(first, name)] == wanted, name
+        assert [v[0] for v in values(first, name)] == list(range(1, len(wanted) + 1))
+
+
+@pytest.mark.parametrize("fraction", [0.0, 0.02, 1.0])
+def test_first_values_do_not_depend_on_the_sample(spark, fraction):
+    df = spark.range(3000).selectExpr(
+        "if(id % 50 = 0, null, 3000 - id) as v", "if(id % 7 = 0, double('nan'), double(id % 60)) as d", "string(id) as s"
+    )
+    df = df.unionAll(df)
+    profile = profile_value_counts(df, n=30, sample_fraction=fraction)
+    for name in df.columns:
+        wanted = rows(df.groupBy(name).count().orderBy(name).limit(30).select(F.col(name).cast("string"), "count"))
+        assert [v[1:] for v in values(profile, name)] == wanted, (name, fraction)
+
+
+def test_all_values_are_numbered_without_one_task(spark, settings):
+    settings("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    df = spark.range(4000).selectExpr("(id * 7919) % 4001 as v", "if(id % 5 = 0, null, string(id % 90)) as s", "array(id % 2) as a")
+    profile = profile_value_counts(df)
+    for name in df.columns:
+        wanted = rows(df.groupBy(name).count().orderBy(name).select(F.col(name).cast("string"), "count"))
+        assert values(profile, name) == [(i, *w) for i, w in enumerate(wanted, 1)], name
+    assert profile_value_counts(df.limit(0)).count() == 0
 
 
 def test_profile_of_other_types(spark):

@@ -214,7 +214,7 @@ _RAW_LAKE_COLUMNS = (
 def column_profile_export(spark, sf_dir):
     """The value counts of all 28 columns of a lake, by CSV."""
     out = scratch_path(spark, "profile")
-    export_column_profile(spark, raw_lake(spark, sf_dir), out)
+    export_column_profile(spark, raw_lake(spark, sf_dir), out, n=1000)
     number = F.col("value").try_cast("double")
     return read_exported(spark, out).select(
         "column_name",
