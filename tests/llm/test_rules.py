@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import itertools
 import random
 import re
+import time
 from collections import Counter
 from hashlib import sha256
 
+import pytest
 from pyspark.sql import functions as F
 
-from recordlake.llm import secrets
+from recordlake.llm import queries, secrets, url_rules
 from recordlake.llm.line_frequency import line_quality, repeated_words, without_frequent_lines
 from recordlake.llm.url_rules import judged_urls, rule_table
 from tests.helpers import plan
@@ -147,6 +150,68 @@ def test_url_rules_with_empty_tables(spark):
     assert tuple(judged_urls(pages, rules.limit(0), default="block").first()) == (1, "a.com", "/x", None, "block")
 
 
+def nested_rules(rng, n):
+    labels, parts = ["a", "b", "c"], ["/", "/x", "/x/", "/x/y", "/z", ""]
+    rules = {}
+    for _ in range(n):
+        host = ".".join(rng.choice(labels) for _ in range(rng.randrange(1, 5)))
+        rules[host, rng.choice(parts)] = rng.choice(["allow", "block", "check"])
+    return [(h, p, v) for (h, p), v in sorted(rules.items())]
+
+
+def longest_rule(url, rules):
+    host, path = split_url(url)
+    fits = [(len(h) + len(p), len(h), h + p, v) for h, p, v in rules
+            if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    return max(fits)[2:] if fits else (None, "allow")
+
+
+def split_url(url):
+    rest = (url or "").partition("://")[2]
+    host = re.split("[/?#]", rest, maxsplit=1)[0]
+    return host.lower(), re.split("[?#]", rest[len(host):], maxsplit=1)[0]
+
+
+@pytest.mark.parametrize("partitions", ["1", "40"])
+def test_ranges_begin_with_the_rules_open_at_the_cut(spark, settings, partitions):
+    settings("spark.sql.shuffle.partitions", partitions)
+    settings("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    rng = random.Random(8)
+    rules = nested_rules(rng, 120)
+    hosts = [".".join(rng.choice("abcd") for _ in range(rng.randrange(1, 7))) for _ in range(200)]
+    paths = ["", "/", "/x", "/x/", "/x/y/z", "/zz", "/w"]
+    rows = [(i, f"h://{rng.choice(hosts)}{rng.choice(paths)}") for i in range(500)]
+    rows += [(1000 + i, "h://a.b/x/y?q") for i in range(300)] + rows[:50]  # a hot key, and repeated rows
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    found = judged_urls(pages, rule_table(spark, rules)).collect()
+    expected = Counter((i, *split_url(u), *longest_rule(u, rules)) for i, u in rows)
+    assert Counter(map(tuple, found)) == expected
+    assert len({r["rule"] for r in found}) > 40
+
+
+def test_rules_are_not_repeated_for_more_partitions(spark, settings):
+    settings("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    rules = nested_rules(random.Random(5), 200)
+    table = rule_table(spark, rules)
+    pages = spark.range(2000).selectExpr("id as page_id", "concat('h://a.b.c', id % 50, '.b/x/', id) as url")
+    for partitions in ("4", "100"):
+        settings("spark.sql.shuffle.partitions", partitions)
+        events = url_rules.sweep_events(pages, url_rules.clean_rules(table), 4, "page_id", "url").cache()
+        assert events.where("kind <> 1").count() == 2 * len(rules)
+        assert events.select("share").distinct().count() == int(partitions)
+        deepest = 4 * 6  # labels of a host, and paths that may nest
+        assert url_rules.open_at_cuts(events).count() <= deepest * int(partitions)
+        events.unpersist()
+
+
+def test_upper_case_rule_hosts_fit(spark):
+    pages = spark.createDataFrame([(1, "http://WWW.example.com/A/b"), (1, "http://www.example.com/A/b")], "page_id long, url string")
+    rules = rule_table(spark, [("Example.COM", "/A/", "block")])
+    assert [tuple(r) for r in judged_urls(pages, rules).collect()] == [
+        (1, "www.example.com", "/A/b", "example.com/A/", "block")
+    ] * 2
+
+
 def test_base_spans_follow_the_patterns():
     text = (
         "password = 'abcdefghijkl' TOKEN:short secret=token: abcdefghijklmn é AKIAABCDEFGHIJKLMN AKIA123 "
@@ -180,6 +245,118 @@ def test_markov_scores_against_a_plain_sum(spark):
     assert abs(total - models.scores([s])[0]) < 1e-9
 
 
+def plain_segments(steps, least, threshold):
+    """The segment of greatest sum, then those to its left and right, by trying all."""
+    best = (0.0, 0, 0)
+    for a in range(len(steps)):
+        total = 0.0
+        for b in range(a, len(steps)):
+            total += steps[b]
+            if total > best[0] + 1e-9:
+                best = (total, a, b + 1)
+    if best[0] <= 0:
+        return []
+    total, a, b = best
+    left = plain_segments(steps[:a], least, threshold)
+    right = [(x + b, y + b) for x, y in plain_segments(steps[b:], least, threshold)]
+    return left + ([(a, b)] if b - a >= least and total > threshold else []) + right
+
+
+def test_greatest_segments_against_all_segments():
+    rng = random.Random(2)
+    for _ in range(300):
+        steps = [rng.choice([-3, -1.5, -1, 1, 1.5, 2, 4]) + rng.random() / 100 for _ in range(rng.randrange(60))]
+        found = [(a, b) for a, b, total in secrets.greatest_segments(steps) if b - a >= 3 and total > 4]
+        assert found == plain_segments(steps, 3, 4)
+
+
+def plain_spans(text, models):
+    """The spans of a text, character by character."""
+    base = sorted(secrets.base_spans(text))
+    free = [c.isascii() and (c.isalnum() or c in "+/_=-") for c in text]
+    runs, at = [], 0
+    for ok, group in itertools.groupby(free):
+        size = len(list(group))
+        if ok and size >= secrets.LEAST:
+            runs.append((at, at + size))
+        at += size
+    spans = list(base)
+    for a, b in runs:
+        own = [i for i in range(a, b) if not any(x <= i < y for x, y, _ in base)]
+        pieces = [[]]
+        for i in own:
+            if pieces[-1] and pieces[-1][-1] != i - 1:
+                pieces.append([])
+            pieces[-1].append(i)
+        for piece in pieces:
+            if len(piece) >= secrets.LEAST:
+                states = [0, *(int(secrets._CLASSES[ord(text[i])]) for i in piece)]
+                steps = [float(models.ratios[x, y]) for x, y in zip(states, states[1:])]
+                for x, y in plain_segments(steps, secrets.LEAST, models.threshold):
+                    spans.append((piece[0] + x, piece[0] + y, "random"))
+    return ",".join(f"{k}:{a}:{b}" for a, b, k in sorted(spans, key=lambda s: (s[0], secrets.KINDS.index(s[2]))))
+
+
+def random_key(rng, n):
+    return "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def trained(spark):
+    rng = random.Random(9)
+    words = ["configuration", "management", "identifier", "transaction", "information", "application", "directory"]
+    rows = [(random_key(rng, 30), True) for _ in range(4000)]
+    rows += [(rng.choice("_-/").join(rng.sample(words, 3)), False) for _ in range(4000)]
+    return secrets.train(spark.createDataFrame(rows, "text string, is_secret boolean"))
+
+
+def test_keys_beside_other_text_are_found(trained):
+    rng = random.Random(4)
+    hits = 0
+    for _ in range(100):
+        first, second = random_key(rng, 24), random_key(rng, 24)
+        path = "/information/application_configuration/management/"
+        text = f"0123456789abcdef0123_{first} and {path}{second} end"
+        spans = secrets.found_spans([text], trained)[0]
+        assert (0, 20, "hex") in spans
+        marked = [set(range(a, b)) for a, b, kind in spans if kind == "random"]
+        keys = [set(range(at, at + 24)) for at in (text.index(first), text.index(second))]
+        hits += all(any(len(m & key) >= 18 for m in marked) for key in keys)
+        assert not any("application" in text[min(m) : max(m)] for m in marked)
+    assert hits > 90
+
+
+def test_long_runs_take_one_pass(trained):
+    rng = random.Random(6)
+    text = "".join(rng.choice("configuration_management/") for _ in range(400_000))
+    began = time.process_time()
+    secrets.found_spans([text, "A" * 400_000, random_key(rng, 200_000)], trained)
+    assert time.process_time() - began < 10
+
+
+def test_the_query_against_a_plain_scan(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    table = queries.table(spark, sf_dir, "documents")
+    models = secrets.train(secrets.labelled_samples(table))
+    rows = {r["doc_id"]: r for r in queries.QUERIES["op3_secret_scan"](spark, sf_dir).collect()}
+    documents = table.select("doc_id", "text").collect()
+    assert len(rows) == len(documents)
+    for key, text in documents:
+        assert rows[key]["spans"] == plain_spans(text or "", models), key
+
+
+def test_models_are_right_on_labels_kept_back(spark):
+    samples = secrets.labelled_samples(queries.table(spark, "/root/testdata/sf0.01", "documents"))
+    samples = samples.withColumn("fold", F.pmod(F.xxhash64(F.lit(5), "text"), F.lit(2))).cache()
+    models = secrets.train(samples.where("fold = 0"))
+    kept = samples.where("fold = 1 and length(text) >= 16").collect()
+    truth = [r["is_secret"] for r in kept]
+    guess = [any(s) for s in models.segments([re.sub("[^!-~]", "-", r["text"]) for r in kept])]
+    hits = sum(t and g for t, g in zip(truth, guess))
+    assert sum(truth) > 20 and hits / sum(truth) > 0.9, (hits, sum(truth))
+    assert hits / max(1, sum(guess)) > 0.9, (hits, sum(guess))
+
+
 def test_secrets_of_a_table(documents):
     key = "Zx9Kq2Lw7Rt4Yp1Bn6Vc3Md8"
     rows = [(i, f"ordinary words about configuration_management and responsibilities {i}") for i in range(40)]
