@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField
 
-from recordlake.llm.batches import append_columns
+from recordlake.llm.batches import append_columns, quoted, stored
 
 #: The patterns, and the lengths from which a match counts.
 ASSIGN = re.compile(
@@ -26,8 +26,9 @@ ACCESS = re.compile("AKIA[A-Z0-9]{14,}")
 HEX = re.compile("[0-9a-f]{16,}")
 KINDS = ("assign", "access", "hex", "random")
 
-#: What the models judge: runs of these characters, of this length at least.
-CANDIDATE = re.compile("[A-Za-z0-9+/_=-]{16,}")
+#: What the models judge: segments of runs of these characters, of this length at least.
+LEAST = 16
+CANDIDATE = re.compile("[A-Za-z0-9+/_=-]{%d,}" % LEAST)
 #: Identifiers and words of this length teach the model of ordinary strings.
 SAMPLED = re.compile("[A-Za-z0-9_-]{8,}")
 #: Strings of each label that the models are trained on, and the most characters of one.
@@ -61,14 +62,64 @@ class MarkovModels:
     ratios: np.ndarray
     threshold: float
 
-    def scores(self, strings: list[str]) -> np.ndarray:
-        """The log-likelihood ratio of each string; the strings are ASCII and not empty."""
+    def steps(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ratio of every character after the one before it, and where each string begins.
+
+        The strings are ASCII and not empty.
+        """
         states = _CLASSES[np.frombuffer("".join(strings).encode(), np.uint8)]
         starts = np.zeros(len(strings), np.int64)
         np.cumsum([len(s) for s in strings[:-1]], out=starts[1:])
         before = np.r_[0, states[:-1]]
         before[starts] = 0
-        return np.add.reduceat(self.ratios[before, states], starts)
+        return self.ratios[before, states], starts
+
+    def scores(self, strings: list[str]) -> np.ndarray:
+        """The log-likelihood ratio of each string."""
+        steps, starts = self.steps(strings)
+        return np.add.reduceat(steps, starts)
+
+    def segments(self, strings: list[str]) -> list[list[tuple[int, int]]]:
+        """For each string its segments (start, end) that are more likely random than ordinary.
+
+        They are the segments of greatest sum (see :func:`greatest_segments`) that are long enough
+        and beyond the threshold.
+        """
+        steps, starts = self.steps(strings)
+        hopeful = np.add.reduceat(np.maximum(steps, 0), starts) > self.threshold
+        found: list[list[tuple[int, int]]] = [[] for _ in strings]
+        ends = np.r_[starts[1:], len(steps)]
+        for k in np.flatnonzero(hopeful).tolist():
+            sums = greatest_segments(steps[starts[k] : ends[k]].tolist())
+            found[k] = [(a, b) for a, b, total in sums if b - a >= LEAST and total > self.threshold]
+        return found
+
+
+def greatest_segments(steps: list[float]) -> list[tuple[int, int, float]]:
+    """All disjoint segments of greatest sum, from left to right, in one pass: start, end, sum.
+
+    The first is the segment of greatest sum of all, the others are those of what is left on
+    either side of it, and so on; each begins and ends with a rise.
+    """
+    # Start, end, sum before, sum at the end, and the last one before that begins lower.
+    held: list[tuple[int, int, float, float, int]] = []
+    total = 0.0
+    for i, step in enumerate(steps):
+        before, total = total, total + step
+        if step <= 0:
+            continue
+        start, low = i, before
+        while True:
+            # The last segment that begins lower than this one does.
+            k = len(held) - 1
+            while k >= 0 and held[k][2] >= low:
+                k = held[k][4]
+            if k < 0 or held[k][3] >= total:
+                held.append((start, i + 1, low, total, k))
+                break
+            start, low = held[k][0], held[k][2]
+            del held[k:]
+    return [(a, b, high - low) for a, b, low, high, _ in held]
 
 
 def transitions(strings: list[str]) -> np.ndarray:
@@ -87,7 +138,8 @@ def train(samples: DataFrame, text: str = "text", label: str = "is_secret", thre
     Rows with a null text or label are left out. A class without samples has the model that
     finds every character equally likely.
     """
-    rows = samples.select(text, label).where(F.col(text).isNotNull() & F.col(label).isNotNull()).collect()
+    strings_, labels = F.col(quoted(text)), F.col(quoted(label))
+    rows = samples.select(strings_, labels).where(strings_.isNotNull() & labels.isNotNull()).collect()
     # In a fixed order, though sums of whole numbers do not depend on it.
     strings = {kind: sorted(r[0] for r in rows if r[1] is kind) for kind in (True, False)}
     ratios = np.log(transitions(strings[True])) - np.log(transitions(strings[False]))
@@ -125,9 +177,11 @@ def labelled_samples(df: DataFrame, text: str = "text", size: int = SAMPLE_SIZE)
                 schema=pa.schema([("text", pa.string()), ("is_secret", pa.bool_())]),
             )
 
-    found = df.select(F.col(text)).mapInArrow(run, "text string, is_secret boolean")
+    # One pass over the texts; both labels are chosen from what it kept.
+    found = df.select(F.col(quoted(text)).alias("text")).mapInArrow(run, "text string, is_secret boolean")
+    found = stored(found.distinct(), "labelled-strings")
     chosen = [
-        found.where(F.col("is_secret") == label).distinct().orderBy(F.xxhash64("text"), "text").limit(size)
+        found.where(F.col("is_secret") == label).orderBy(F.xxhash64("text"), "text").limit(size)
         for label in (True, False)
     ]
     return chosen[0].unionAll(chosen[1])
@@ -149,23 +203,37 @@ def strings_of(text: str) -> tuple[list[str], list[str]]:
     return secrets, ordinary
 
 
+def judged_pieces(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
+    """Runs of candidate characters without what the fixed patterns found, where long enough."""
+    pieces, spans = [], sorted((a, b) for a, b, _ in base)
+    for m in CANDIDATE.finditer(text):
+        at, stop = m.span()
+        for a, b in spans:
+            if b <= at or a >= stop:
+                continue
+            if a - at >= LEAST:
+                pieces.append((at, a))
+            at = max(at, b)
+        if stop - at >= LEAST:
+            pieces.append((at, stop))
+    return pieces
+
+
 def found_spans(texts: list[str | None], models: MarkovModels) -> list[list[tuple[int, int, str]]]:
     """All spans of each text, by start and then kind; the models add to the fixed patterns.
 
-    A candidate that overlaps a span of the patterns is left to it.
+    The models judge what the patterns leave of a run, and mark the segments that look random:
+    neither a path before a key nor a span of the patterns beside it hides the key.
     """
     spans, strings, places = [], [], []
     for k, text in enumerate(texts):
         spans.append(base_spans(text or ""))
-        base = sorted(spans[k])
-        for m in CANDIDATE.finditer(text or ""):
-            if not any(start < m.end() and m.start() < end for start, end, _ in base):
-                strings.append(m[0])
-                places.append((k, m.start(), m.end()))
+        for a, b in judged_pieces(text or "", spans[k]):
+            strings.append(text[a:b])
+            places.append((k, a))
     if strings:
-        for (k, start, end), score in zip(places, models.scores(strings)):
-            if score > models.threshold:
-                spans[k].append((start, end, "random"))
+        for (k, at), segments in zip(places, models.segments(strings)):
+            spans[k] += [(at + a, at + b, "random") for a, b in segments]
     return [sorted(s, key=lambda x: (x[0], KINDS.index(x[2]))) for s in spans]
 
 
@@ -223,4 +291,4 @@ def without_secrets(df: DataFrame, models: MarkovModels, text: str = "text") ->
     """The same rows and columns, with a mark in place of every secret. Null stays null."""
     redact = redactor(models)
     made = append_columns(df, text, [StructField(text, StringType())], lambda texts: [redact(texts)])
-    return made.select(*df.columns)
+    return made.select(*[quoted(c) for c in df.columns])
