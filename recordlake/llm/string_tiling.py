@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections import deque
 from dataclasses import dataclass
 
 import numpy as np
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
@@ -13,12 +14,15 @@ from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, Struc
 from recordlake.llm.batches import append_columns, quoted
 from recordlake.llm.words import separators, window_hashes, word_bounds, word_hashes
 
-#: Tokens are runs of letters A-Z, a-z, digits and any non-ASCII characters, in lower case.
+#: Tokens are runs of letters, marks and digits, in lower case. Bytes of letters beyond ASCII all count.
 BETWEEN = separators(bytes(c for c in range(128) if not chr(c).isalnum()))
+#: What parts tokens beyond ASCII, and letters of scripts without spaces, each of which is a token.
+OTHER = regex.compile(r"[^\p{L}\p{M}\p{N}\x00-\x7f]")
+ALONE = regex.compile(
+    r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}\p{Tibetan}]\p{M}*"
+)
 #: Bytes of benchmark text that are searched for in one pass over the documents.
 BLOCK_BYTES = 8_000_000
-#: Length of the first matches that the tiling looks for.
-FIRST_LENGTH = 20
 
 MATCH = StructType(
     [
@@ -31,101 +35,132 @@ MATCH = StructType(
 
 
 def token_hashes(text: str | None) -> np.ndarray:
-    data = np.frombuffer((text or "").lower().encode(), np.uint8)
+    text = (text or "").lower()
+    if not text.isascii():
+        text = ALONE.sub(r" \g<0> ", OTHER.sub(" ", text))
+    data = np.frombuffer(text.encode(), np.uint8)
     return word_hashes(data, *word_bounds(data, BETWEEN))
 
 
 def tiles(text: list, item: list, shortest: int) -> list[tuple[int, int, int]]:
+    """:func:`tiled` for lists; None in ``text`` matches nothing."""
+    blocked = np.array([t is None for t in text], bool)
+    values = np.array([0 if t is None else t for t in text], np.uint64)
+    return tiled(values, blocked, np.array(item, np.uint64), shortest)
+
+
+def tiled(text: np.ndarray, blocked: np.ndarray, item: np.ndarray, shortest: int) -> list[tuple[int, int, int]]:
     """Non-overlapping matches (start in text, start in item, length), longest first.
 
-    Running Karp-Rabin greedy string tiling. For a falling search length, rolling hashes of the
-    unmarked runs of ``item`` are looked up for those of ``text`` and extended as far as both
-    agree and are unmarked; found matches are marked longest first (of equals the leftmost), and
-    the search is repeated while marks have cut matches short. None in ``text`` matches nothing.
+    Running Karp-Rabin greedy string tiling: hashes of all unmarked windows of one length tell
+    whether a match of that length is left, and halving finds the greatest such length. The matches
+    of that length are marked, the leftmost first, and the search goes on with shorter ones. A match
+    is compared token by token before it is marked. Each length costs a number of steps linear in
+    both texts, also where one token stands many times, and lengths add up to the item's at most.
     """
-    marked, taken = [t is None for t in text], [False] * len(item)
-    found, length = [], min(FIRST_LENGTH, len(item))
-    while length >= shortest:
-        matches = _matches(text, item, marked, taken, length)
-        longest = max((m[0] for m in matches), default=0)
-        if longest > 2 * length:
-            length = longest
-            continue
-        cut = False
-        for size, a, b in sorted(matches, key=lambda m: (-m[0], m[1], m[2])):
-            if any(marked[a : a + size]) or any(taken[b : b + size]):
-                cut = True
-                continue
-            marked[a : a + size] = taken[b : b + size] = [True] * size
-            found.append((a, b, size))
-        if not cut:
-            length = length // 2 if length > 2 * shortest else shortest if length > shortest else 0
+    marked, taken, found = blocked.copy(), np.zeros(len(item), bool), []
+    most = min(len(text), len(item))
+    while most >= shortest:
+        length = longest_shared(text, marked, item, taken, shortest, most)
+        if not length:
+            break
+        found += marked_matches(text, marked, item, taken, length)
+        most = length - 1
     return found
 
 
-BASE, MODULUS = 1_000_003, (1 << 61) - 1
+def free_windows(values: np.ndarray, marked: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and hashes of the windows without a mark."""
+    before = np.r_[0, np.cumsum(marked)]
+    starts = np.flatnonzero(before[length:] == before[:-length])
+    return starts, window_hashes(values, length)[starts]
+
 
+def longest_shared(text, marked, item, taken, shortest: int, most: int) -> int:
+    """The greatest length up to ``most`` at which both have a free window of equal hash, or 0."""
 
-def _rolling(values: list, blocked: list, length: int):
-    """Start and hash of each window of ``length`` values without a blocked one."""
-    lead, value, run = pow(BASE, length, MODULUS), 0, 0
-    for end, v in enumerate(values):
-        if blocked[end]:
-            value, run = 0, 0
+    def shared(length: int) -> bool:
+        own = free_windows(item, taken, length)[1]
+        return bool(len(own)) and bool(np.isin(own, free_windows(text, marked, length)[1]).any())
+
+    if not shared(shortest):
+        return 0
+    low, high = shortest, most + 1
+    if shared(most):
+        return most
+    while high - low > 1:
+        middle = (low + high) // 2
+        low, high = (middle, high) if shared(middle) else (low, middle)
+    return low
+
+
+def marked_matches(text, marked, item, taken, length: int) -> list[tuple[int, int, int]]:
+    """Mark the matches of one length, the longest there are: by their place in the text, then the item.
+
+    Places of the item that marks have reached are passed over for good, so each is looked at once.
+    """
+    own, own_hashes = free_windows(item, taken, length)
+    places: dict[int, deque] = {}
+    for b, value in zip(own.tolist(), own_hashes.tolist()):
+        places.setdefault(value, deque()).append(b)
+    starts, hashes = free_windows(text, marked, length)
+    meet = np.isin(hashes, own_hashes)
+    found, end = [], 0
+    for a, value in zip(starts[meet].tolist(), hashes[meet].tolist()):
+        if a < end:
             continue
-        value, run = (value * BASE + v) % MODULUS, run + 1
-        if run > length:
-            value = (value - values[end - length] * lead) % MODULUS
-        if run >= length:
-            yield end - length + 1, value
-
-
-def _matches(text, item, marked, taken, length) -> list[tuple[int, int, int]]:
-    places = defaultdict(list)
-    for start, value in _rolling(item, taken, length):
-        places[value].append(start)
-    matches = []
-    for a, value in _rolling(text, marked, length):
-        for b in places.get(value, ()):
-            # A match that goes on to the left has been found from there.
-            if a and b and not marked[a - 1] and not taken[b - 1] and text[a - 1] == item[b - 1]:
-                continue
-            n = 0
-            while (
-                a + n < len(text) and b + n < len(item)
-                and text[a + n] == item[b + n] and not marked[a + n] and not taken[b + n]
-            ):
-                n += 1
-            if n >= length:
-                matches.append((n, a, b))
-    return matches
+        left = places[value]
+        while left and taken[left[0] : left[0] + length].any():
+            left.popleft()
+        for b in left:
+            if not taken[b : b + length].any() and np.array_equal(text[a : a + length], item[b : b + length]):
+                end = a + length
+                marked[a:end] = taken[b : b + length] = True
+                found.append((a, b, length))
+                break
+    return found
 
 
 @dataclass(frozen=True)
 class SeedIndex:
-    """The items of a block: their tokens, and their windows of ``seed`` tokens by hash."""
+    """The items of a block: their tokens, and their windows of ``seed`` tokens by hash.
+
+    Items of fewer tokens are kept by their number of tokens, with one hash each.
+    """
 
     seed: int
-    items: list[tuple[int, list[int]]]
+    items: list[tuple[int, np.ndarray]]
     hashes: np.ndarray
     owners: np.ndarray
     places: np.ndarray
+    short: dict[int, tuple[np.ndarray, np.ndarray]]
 
     @staticmethod
     def of(rows: list[tuple[int, str | None]], seed: int) -> SeedIndex:
         items, hashes, owners, places = [], [np.zeros(0, np.uint64)], [], []
+        short: dict[int, list[tuple[int, int]]] = {}
         for number, text in sorted(rows, key=lambda r: (r[0], r[1] or "")):
             tokens = token_hashes(text)
-            windows = window_hashes(tokens, seed)
-            if len(windows):  # shorter items match nothing
+            if not len(tokens):
+                continue
+            if len(tokens) < seed:
+                whole = int(window_hashes(tokens, len(tokens))[0])
+                short.setdefault(len(tokens), []).append((whole, len(items)))
+            else:
+                windows = window_hashes(tokens, seed)
                 owners += [len(items)] * len(windows)
                 places += range(len(windows))
                 hashes.append(windows)
-                items.append((number, tokens.tolist()))
+            items.append((number, tokens))
         found = np.concatenate(hashes)
         order = np.argsort(found, kind="stable")
+        by_length = {
+            n: (np.array([h for h, _ in sorted(some)], np.uint64), np.array([k for _, k in sorted(some)]))
+            for n, some in short.items()
+        }
         return SeedIndex(
-            seed, items, found[order], np.array(owners, np.int64)[order], np.array(places, np.int64)[order]
+            seed, items, found[order], np.array(owners, np.int64)[order],
+            np.array(places, np.int64)[order], by_length,
         )
 
     def search(self, texts: list[str | None], least: float) -> list[list[dict]]:
@@ -133,47 +168,78 @@ class SeedIndex:
         return [self._search(token_hashes(t), least) for t in texts]
 
     def _search(self, tokens: np.ndarray, least: float) -> list[dict]:
+        found = self.whole_items(tokens)
+        for owner, (values, blocked) in self.candidates(tokens, least).items():
+            item = self.items[owner][1]
+            sizes = [size for _, _, size in tiled(values, blocked, item, self.seed)]
+            if sizes and sum(sizes) >= least * len(item):
+                found[owner] = sizes
+        return [
+            {
+                "item": self.items[owner][0],
+                "coverage": sum(sizes) / len(self.items[owner][1]),
+                "tiled_tokens": sum(sizes),
+                "longest_tile": max(sizes),
+            }
+            for owner, sizes in sorted(found.items())
+        ]
+
+    def whole_items(self, tokens: np.ndarray) -> dict[int, list[int]]:
+        """Items shorter than a seed that stand in a text as they are, with their one tile."""
+        found = {}
+        for length, (hashes, owners) in self.short.items():
+            windows = window_hashes(tokens, length)
+            for k in np.flatnonzero(np.isin(hashes, windows)).tolist():
+                item = self.items[owners[k]][1]
+                starts = np.flatnonzero(windows == hashes[k]).tolist()
+                if any(np.array_equal(tokens[a : a + length], item) for a in starts):
+                    found[int(owners[k])] = [length]
+        return found
+
+    def candidates(self, tokens: np.ndarray, least: float) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+        """By item: the runs of a text that its seeds cover, one after another with blocks between.
+
+        Tiles consist of seeds, so what no seed covers cannot be tiled; items that seeds cannot
+        cover enough of are left out.
+        """
         windows = window_hashes(tokens, self.seed)
         if not len(windows) or not len(self.hashes):
-            return []
-        first = np.searchsorted(self.hashes, windows, "left")
-        hits = np.flatnonzero(self.hashes[np.minimum(first, len(self.hashes) - 1)] == windows)
+            return {}
+        seen, inverse = np.unique(windows, return_inverse=True)
+        first = np.searchsorted(self.hashes, seen, "left")
+        last = np.searchsorted(self.hashes, seen, "right")
+        hits = np.flatnonzero(first < last)
         if not len(hits):
-            return []
-        last = np.searchsorted(self.hashes, windows[hits], "right")
-        seeds: dict[int, tuple[set, set]] = {}
-        for at, a, b in zip(hits.tolist(), first[hits].tolist(), last.tolist()):
-            for owner, place in zip(self.owners[a:b].tolist(), self.places[a:b].tolist()):
-                ours, theirs = seeds.setdefault(owner, (set(), set()))
-                ours.add(at)
-                theirs.add(place)
-        found = []
-        for owner in sorted(seeds):
-            (number, item), (ours, theirs) = self.items[owner], seeds[owner]
-            # Tiles consist of seeds: what no seed covers cannot be tiled.
-            covered = {p for place in theirs for p in range(place, place + self.seed)}
-            if len(covered) < least * len(item):
+            return {}
+        counts = last[hits] - first[hits]
+        entries = np.repeat(first[hits] - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+        owners, seeds = self.owners[entries], np.repeat(hits, counts)
+        order = np.argsort(owners, kind="stable")
+        entries, owners, seeds = entries[order], owners[order], seeds[order]
+        cuts = np.r_[np.flatnonzero(np.r_[True, owners[1:] != owners[:-1]]), len(owners)]
+        found = {}
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            owner = int(owners[a])
+            item = self.items[owner][1]
+            if spread(self.places[entries[a:b]], self.seed, len(item)).sum() < least * len(item):
                 continue
-            parts, end = [], -1
-            for at in sorted(ours):
-                if at > end:
-                    parts.append(None)
-                    end = at
-                parts += tokens[end : at + self.seed].tolist()
-                end = at + self.seed
-            sizes = [size for _, _, size in tiles(parts, item, self.seed)]
-            if sizes and sum(sizes) >= least * len(item):
-                found.append(
-                    {
-                        "item": number,
-                        "coverage": sum(sizes) / len(item),
-                        "tiled_tokens": sum(sizes),
-                        "longest_tile": max(sizes),
-                    }
-                )
+            shared = np.zeros(len(seen), bool)
+            shared[seeds[a:b]] = True
+            covered = spread(np.flatnonzero(shared[inverse]), self.seed, len(tokens))
+            places = np.flatnonzero(covered)
+            gaps = np.flatnonzero(np.diff(places) > 1) + 1
+            values = np.insert(tokens[places], gaps, 0)
+            blocked = np.insert(np.zeros(len(places), bool), gaps, True)
+            found[owner] = values, blocked
         return found
 
 
+def spread(starts: np.ndarray, length: int, size: int) -> np.ndarray:
+    """Which of ``size`` places lie within ``length`` places from one of the starts on."""
+    steps = np.bincount(starts, minlength=size + 1) - np.bincount(starts + length, minlength=size + 1)
+    return np.cumsum(steps)[:size] > 0
+
+
 def seed_indexes(benchmark: DataFrame, item: str = "item_id", text: str = "text", seed: int = 5):
     """The benchmark in blocks of :data:`BLOCK_BYTES` or a little more, one at a time.
 
@@ -206,8 +272,9 @@ def contaminations(
     ``min_coverage`` of the item's tokens: key, item, ``coverage``, ``tiled_tokens``,
     ``longest_tile`` and ``contaminated`` (true).
 
-    Items of fewer than ``seed`` tokens and null texts match nothing; items with a null key are
-    left out. Repeated rows of either table give a pair each. Keys of documents may be null, other
+    Tokens are runs of letters and digits without regard to case; in scripts without spaces each
+    letter is one. An item of fewer than ``seed`` tokens is given away by a document that holds all
+    of them side by side. Texts without a token match nothing; items with a null key are left out. Repeated rows of either table give a pair each. Keys of documents may be null, other
     columns are not read, and an empty table on either side gives an empty result. Documents are
     not shuffled; the benchmark goes to the tasks in blocks of bounded size.
     """
