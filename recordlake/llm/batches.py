@@ -19,11 +19,15 @@ STEP_BYTES = 4_000_000
 
 
 def steps(batch: pa.RecordBatch, column: int = 0, limit: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with ``limit`` bytes in a text or binary column at most."""
+    """Slices of a batch with ``limit`` bytes in a column of texts, binary values or ids at most."""
     texts = batch.column(column)
     if batch.num_rows == 0:
         return
-    lengths = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
+    if pa.types.is_list(texts.type):
+        lengths = pc.multiply(pc.list_value_length(texts), 8).fill_null(0)
+    else:
+        lengths = pc.binary_length(texts).fill_null(0)
+    lengths = lengths.to_numpy(zero_copy_only=False)
     ends, start = np.cumsum(lengths.astype(np.int64)), 0
     while start < len(ends):
         before = ends[start - 1] if start else 0
@@ -39,7 +43,7 @@ def append_columns(
     make: Callable[[list], list],
     keep: list[str] | None = None,
 ) -> DataFrame:
-    """Columns computed from one text (or binary) column or expression, a batch at a time.
+    """Columns computed from one column or expression of texts, binary values or ids, by batches.
 
     ``make`` gets the values of a step, None for null, and returns one list per field.
     ``keep`` names the columns that stay (all by default), whatever their names; a kept column

@@ -13,6 +13,8 @@ from recordlake.llm.batches import append_columns, quoted
 
 #: Bytes of a window; the network reads each window of a text in both directions.
 WINDOW = 64
+#: Bytes of the shortest texts that the network is trained on.
+SHORTEST = 8
 #: Hidden units of a direction.
 HIDDEN = 8
 #: Bounds of the training sample: documents of a language, and windows of a document.
@@ -218,8 +220,11 @@ def train(rows: list[tuple[str, bytes]], steps: int = STEPS) -> LanguageModel:
     for step in range(1, steps + 1):
         # Languages are equally likely in a batch, however many rows they have.
         chosen = np.array([rng.choice(by_language[k]) for k in rng.integers(len(languages), size=BATCH)])
-        some = np.ascontiguousarray(windows[chosen].T)
-        real = (np.arange(WINDOW)[:, None] < sizes[chosen]).astype(np.float32)
+        # Half of the windows are cut, as a short text or the end of a long one is.
+        cut = np.where(rng.random(BATCH) < 0.5, rng.integers(SHORTEST, WINDOW + 1, BATCH), WINDOW)
+        inside = np.arange(WINDOW)[:, None] < np.minimum(sizes[chosen], cut)
+        some = np.ascontiguousarray(np.where(inside, windows[chosen].T, 0))
+        real = inside.astype(np.float32)
         _, gradients = loss_gradients(model, some, target[chosen], real)
         size = np.sqrt(sum(float((g * g).sum()) for g in gradients))
         rate = RATE * min(1.0, 2 * (1 - step / (steps + 1)))

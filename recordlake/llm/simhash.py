@@ -12,11 +12,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StructField
+from pyspark.sql.types import LongType, StructField
 
-from recordlake.llm.batches import append_columns, quoted, row_keys, steps, stored
+from recordlake.llm.batches import append_columns, quoted, row_keys, stored
 from recordlake.llm.components import components
-from recordlake.llm.words import LOWER, SPACES, mixed, separators, window_hashes, word_bounds, word_hashes
+from recordlake.llm.words import LOWER
 
 BITS = 64
 SEED = 42
@@ -29,17 +29,6 @@ BLOCK = 8192
 #: Relative costs of dealing out a fingerprint once and of comparing a pair.
 ROW_COST, PAIR_COST = 2.0, 0.005
 
-#: Two sets of shingles are linked if their Jaccard similarity is at least NUM / DEN.
-NUM, DEN = 4, 5
-#: Differing bits of 128 up to which sets that share a rare shingle are compared exactly. Pairs
-#: at the similarity of 0.8 differ in 19 with a standard deviation of 4, unlike texts in 64.
-LOOSE_BITS = 48
-#: Texts in which common shingles are counted, the copies of one that make it common, and the
-#: most of them. They only order the shingles: links do not depend on them.
-ORDER_TEXTS, ORDER_COPIES, ORDER_SHINGLES = 20_000, 8, 100_000
-#: Bytes of shingles in a block of a connected set that is compared exactly.
-SET_BYTES = 32_000_000
-
 
 def fingerprint(text: str | None, shingle: int) -> int:
     """The 64-bit fingerprint of a text's word shingles."""
@@ -163,15 +152,14 @@ def partition_plan(sample: np.ndarray, total: int, max_bits: int) -> list[Part]:
 
 @dataclass(frozen=True)
 class Closeness:
-    """When two rows of fingerprints are linked: by their differing bits, from a column on."""
+    """When two rows of fingerprints are linked: by their differing bits."""
 
     max_bits: int
-    first: int = 0
 
     def __call__(self, values: np.ndarray, rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
         """values: (count, 1 or more); whether each of ``rows`` is linked with each of ``columns``."""
         apart = np.zeros((len(rows), len(columns)), np.int16)
-        for k in range(self.first, values.shape[1]):
+        for k in range(values.shape[1]):
             apart += np.bitwise_count(values[rows, k][:, None] ^ values[columns, k])
         return apart <= self.max_bits
 
@@ -350,169 +338,24 @@ def classed(distinct: DataFrame, links: DataFrame) -> DataFrame:
     return rooted.join(smallest, "root").select("fingerprint", "class_least")
 
 
-def shingle_set(text: str | None, shingle: int) -> np.ndarray:
-    """Sorted hashes of a text's distinct word shingles; a shorter text is one shingle."""
-    data = np.frombuffer((text or "").encode().translate(LOWER), np.uint8)
-    words = word_hashes(data, *word_bounds(data, separators(SPACES)))
-    return np.unique(window_hashes(words, max(1, min(shingle, len(words)))))
-
-
-def prefix_size(size: int) -> int:
-    """First shingles of a set, in any one order: sets at the bound share one of them."""
-    return size - (NUM * size + DEN - 1) // DEN + 1 if size else 0
-
-
-def similar_links(nodes: np.ndarray, bits: np.ndarray, sets: list[np.ndarray]) -> np.ndarray:
-    """Pairs of nodes that connect all sets whose exact Jaccard similarity reaches the bound."""
-    sizes = np.array([len(s) for s in sets])
-    free, pairs = np.arange(len(sets)), []
-    while len(free):
-        frontier, free = [int(free[0])], free[1:]
-        while frontier and len(free):
-            a = frontier.pop()
-            fits = (NUM * sizes[free] <= DEN * sizes[a]) & (NUM * sizes[a] <= DEN * sizes[free])
-            fits &= np.bitwise_count(bits[free] ^ bits[a]).sum(1) <= LOOSE_BITS
-            hit = np.zeros(len(free), bool)
-            some = np.flatnonzero(fits)
-            for first in range(0, len(some), 256):
-                part = some[first : first + 256]
-                shared = shared_counts(sets[a], [sets[b] for b in free[part].tolist()])
-                hit[part] = (NUM + DEN) * shared >= NUM * (sizes[a] + sizes[free[part]])
-            if hit.any():
-                pairs.append(np.stack([np.full(hit.sum(), nodes[a]), nodes[free[hit]]], 1))
-                frontier += free[hit].tolist()
-                free = free[~hit]
-    return np.concatenate(pairs) if pairs else np.zeros((0, 2), np.int64)
-
-
-def shared_counts(own: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
-    """Shingles that a set shares with each of others; all are sorted, and only one may be empty."""
-    if not len(own):
-        return np.array([0 for _ in others])
-    every = np.concatenate(others)
-    place = np.minimum(np.searchsorted(own, every), len(own) - 1)
-    same = np.r_[0, np.cumsum(own[place] == every)]
-    ends = np.cumsum([len(o) for o in others])
-    return same[ends] - same[np.r_[0, ends[:-1]]]
-
-
-def common_shingles(df: DataFrame, text: str, shingle: int) -> np.ndarray:
-    """Shingles that many of a bounded number of texts hold, sorted."""
-    cut = max(1, df.count() // ORDER_TEXTS)
-    some = df.where(F.pmod(F.col("key_a"), F.lit(cut)) == 0)
-
-    def run(batches):
-        for batch in batches:
-            for step in steps(batch):
-                for text in step.column(0).to_pylist():
-                    found = shingle_set(text, shingle).view(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(found)], names=["shingle"])
-
-    counts = some.select(quoted(text)).mapInArrow(run, "shingle bigint").groupBy("shingle").count()
-    counts = counts.where(F.col("count") >= ORDER_COPIES)
-    rows = counts.orderBy(F.desc("count"), "shingle").limit(ORDER_SHINGLES).collect()
-    return np.sort(np.array([r["shingle"] for r in rows], np.int64))
-
-
-def with_sets(df: DataFrame, shingle: int, common: np.ndarray, keep: list[str]) -> DataFrame:
-    """Add the hash of every text's set of shingles, its size, its 128 bits and its first shingles.
-
-    The order of shingles has the ``common`` ones last, so rows that share a first one are few.
-    """
-    names = ["node", "size", "bits_a", "bits_b"]
-    fields = [*[StructField(n, LongType()) for n in names], StructField("first", ArrayType(LongType(), False))]
-
-    def make(texts):
-        rows = []
-        for text in texts:
-            hashes = shingle_set(text, shingle)
-            bits = [np.packbits(2 * bit_counts(h) > len(h), bitorder="little").view("<i8")[0]
-                    for h in (hashes, mixed(hashes + np.uint64(1)))]
-            own = hashes.view(np.int64)
-            last = np.isin(own, common, assume_unique=True)
-            first = np.r_[own[~last], own[last]][: prefix_size(len(own))]
-            rows.append((signed(xxhash.xxh64_intdigest(hashes.tobytes(), SEED)), len(own), *bits, first.tolist()))
-        return [list(column) for column in zip(*rows)]
-
-    return append_columns(df, "text", fields, make, keep)
-
-
-def similar_sets(distinct: DataFrame, texts: DataFrame, shingle: int, common: np.ndarray) -> DataFrame:
-    """Links ``a``, ``b`` that connect the sets (``node``) of Jaccard similarity :data:`NUM` / :data:`DEN` or more.
-
-    Of such a pair each has one of the other's first shingles among its own first ones, so every
-    pair meets in the bucket of a shingle. There, pairs up to :data:`LOOSE_BITS` differing bits
-    give spanning links; what these connect is then compared by the shingles themselves, which
-    are made again from ``texts`` (``key_a``, ``key_b``, ``text``) for those sets alone. Large
-    buckets and large connected sets are cut into blocks that meet in pairs.
-    """
-    spark = distinct.sparkSession
-    dealt = distinct.select(F.explode("first").alias("shingle"), "node", "bits_a", "bits_b")
-    hot = spark.createDataFrame([(v,) for v in common.tolist()], "shingle bigint")
-    sizes = dealt.join(F.broadcast(hot), "shingle", "leftsemi").groupBy("shingle").count()
-    blocks = F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks")
-    large = stored(sizes.where(F.col("count") > BLOCK).select("shingle", blocks), "large-buckets")
-    close = Closeness(LOOSE_BITS, first=1)
-
-    def loose(table, ends):
-        yield from links_of_buckets(columns_of(table, ["node", "bits_a", "bits_b"]), ends, close)
-
-    links = per_bucket(in_blocks(dealt, large, ["shingle"], "node"), ["shingle", "x", "y"], loose)
-    roots = components(links)
-    roots = stored(roots.unionAll(roots.select("root", "root").distinct()).toDF("node", "root"), "loose-roots")
-    columns = ["node", "root", "size", "bits_a", "bits_b", "least.key_a", "least.key_b"]
-    members = stored(distinct.join(roots, "node").select(*columns), "loose-members")
-    sizes = members.groupBy("root").agg(F.sum(8 * F.col("size")).alias("bytes"))
-    blocks = F.ceil(F.col("bytes") / SET_BYTES).cast("int").alias("blocks")
-    large = stored(sizes.where(F.col("bytes") > SET_BYTES).select("root", blocks), "large-sets")
-    found = texts.join(members, ["key_a", "key_b"]).select("text", "node", "root", "bits_a", "bits_b")
-
-    def make(batch_texts):
-        return [[shingle_set(t, shingle).view(np.int64).tolist() for t in batch_texts]]
-
-    shingles = [StructField("shingles", ArrayType(LongType(), False))]
-    found = append_columns(found, "text", shingles, make, ["node", "root", "bits_a", "bits_b"])
-
-    def exact(table, ends):
-        values = columns_of(table, ["node", "bits_a", "bits_b"])
-        lists = table.column("shingles").combine_chunks()
-        if isinstance(lists, pa.ChunkedArray):
-            lists = pa.concat_arrays(lists.chunks)
-        offsets, flat = lists.offsets.to_numpy(), lists.values.to_numpy().view(np.uint64)
-        for a, b in zip([0, *ends[:-1].tolist()], ends.tolist()):
-            # A row that repeats in key and text stands for its set once.
-            rows = a + np.unique(values[a:b, 0], return_index=True)[1]
-            sets = [flat[offsets[i] : offsets[i + 1]] for i in rows.tolist()]
-            yield similar_links(values[rows, 0].view(np.int64), values[rows, 1:], sets)
-
-    return per_bucket(in_blocks(found, large, ["root"], "node"), ["root", "x", "y"], exact)
-
-
-def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5) -> DataFrame:
-    """One document of each near-duplicate class, with all its columns.
-
-    Documents are linked if the sets of their word shingles have a Jaccard similarity of
-    :data:`NUM` / :data:`DEN` or more, and only then: every link is confirmed by the shingles, and
-    candidates come from shared first shingles, which no such pair lacks. Only pairs of those that
-    differ in more than :data:`LOOSE_BITS` bits of a 128-bit fingerprint are passed over, seven
-    standard deviations from the mean at the bound for sets of many shingles.
+def one_of_each(
+    df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 4, max_bits: int = 4
+) -> DataFrame:
+    """One document of each class of :func:`near_duplicates`, with all its columns.
 
     Of a class the row with the smallest key stays; keys that are null come last, and of rows with
     equal keys one that the rows' own values choose. Of rows that are equal in key and text one
-    stays, which is any if other columns differ. Texts without a word make one class.
+    stays, which is any if other columns differ. Texts without a word make one class, together
+    with all that are linked to fingerprint zero. Columns may have any names.
     """
     keys = row_keys(key, text)
     source = df.select(F.col(quoted(key)).alias("key"), F.col(quoted(text)).alias("text"), *keys)
-    common = common_shingles(source, "text", shingle)
-    documents = with_sets(source, shingle, common, ["key", "key_a", "key_b"])
-    who = F.struct(F.isnull("key").alias("none"), "key", "key_a", "key_b")
-    columns = ["node", "size", "bits_a", "bits_b", "first"]
-    documents = stored(documents.select(*columns, who.alias("who")), "shingle-sets")
-    # Equal sets are one class; what is computed from the set is the same in all of them.
-    same = [F.any_value(c).alias(c) for c in columns[1:]]
-    distinct = stored(documents.groupBy("node").agg(F.min("who").alias("least"), *same), "distinct-sets")
-    links = similar_sets(distinct, source.select("key_a", "key_b", "text"), shingle, common)
-    classes = classed(distinct.select(F.col("node").alias("fingerprint"), "least"), links)
+    who = F.struct(F.isnull("key").alias("none"), "key", "key_a", "key_b").alias("who")
+    documents = fingerprints(source, "text", shingle, ["key", "key_a", "key_b"])
+    documents = stored(documents.select("fingerprint", who), "fingerprints")
+    distinct = documents.groupBy("fingerprint").agg(F.min("who").alias("least"))
+    distinct = stored(distinct, "distinct-fingerprints")
+    classes = classed(distinct, fingerprint_links(distinct, Closeness(max_bits)))
     chosen = stored(classes.select("class_least.key_a", "class_least.key_b").distinct(), "chosen")
     row = F.struct(*[F.col(quoted(c)) for c in df.columns]).alias("row")
     left = df.select(row, *keys).join(chosen, ["key_a", "key_b"], "leftsemi")

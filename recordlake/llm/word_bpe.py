@@ -52,7 +52,7 @@ class WordBpe:
         self.last = [vocabulary[c + self.end] for c in characters]
         found = "|".join(regex.escape(s) for s in sorted(self.special, key=len)[::-1])
         self.cut = regex.compile(f"({found})") if found else None
-        self.known: dict[str, tuple[bytes, str, int]] = {}
+        self.known: dict[str, bytes] = {}
 
     def merged(self, symbols: list[int]) -> list[int]:
         """Merge the leftmost lowest-rank pair until none is left.
@@ -176,21 +176,24 @@ class WordBpe:
                 ]
                 merged = self.merged_rows(rows) if bits <= SHORT_BITS else [self.merged(rows[0])]
                 for p, ids in zip(some, merged):
-                    self.known[p] = (pack(f"<{len(ids)}I", *ids), self.decoded(ids), len(ids))
+                    self.known[p] = pack(f"<{len(ids)}I", *ids)
 
     def decoded(self, ids: list[int]) -> str:
         """Without a decoder of its own, the vocabulary decodes to symbols and spaces."""
-        return " ".join(map(self.tokens.__getitem__, ids))
+        try:
+            return " ".join(map(self.tokens.__getitem__, ids))
+        except KeyError:
+            return " ".join(self.tokens[i] for i in ids if i in self.tokens)
 
-    def encode(self, texts: list[str | None]) -> list[list[tuple[bytes, str, int]]]:
-        """For each text its pieces: ids in little-endian bytes, decoded text, number of ids."""
+    def encode(self, texts: list[str | None]) -> list[list[bytes]]:
+        """For each text the ids of its pieces, in little-endian 32-bit numbers."""
         cut = [self.pieces(t or "") for t in texts]
         known = self.known
         new = {p for pieces in cut for p in pieces if p not in known}
         if len(known) + len(new) > REMEMBERED:
             known.clear()
             new = {p for pieces in cut for p in pieces}
-        known.update((s, (pack("<I", i), s, 1)) for s, i in self.special.items())
+        known.update((s, pack("<I", i)) for s, i in self.special.items())
         self.learn([p for p in new if p not in self.special])
         return [list(map(known.__getitem__, pieces)) for pieces in cut]
 
@@ -230,7 +233,7 @@ def encoded(df: DataFrame, vocabulary: str, text: str = "text", keep: list[str]
     fields = [StructField("n_tokens", LongType()), StructField("ids", ArrayType(IntegerType(), False))]
 
     def make(texts):
-        rows = [b"".join(p[0] for p in pieces) for pieces in model(vocabulary).encode(texts)]
+        rows = list(map(b"".join, model(vocabulary).encode(texts)))
         return [[len(r) // 4 for r in rows], [np.frombuffer(r, "<u4").astype("i4") for r in rows]]
 
     return append_columns(df, text, fields, make, keep)
@@ -240,7 +243,7 @@ def round_trips(df: DataFrame, vocabulary: str, text: str = "text", keep: list[s
     """Encode every text and decode it again: number of tokens and digests of ids and text.
 
     ``ids_sha256`` is over the ids as little-endian 32-bit numbers, ``decoded_sha256`` over the
-    decoded text in UTF-8. Otherwise as :func:`encoded`.
+    text in UTF-8 that these ids decode to. Otherwise as :func:`encoded`.
     """
     fields = [
         StructField("n_tokens", LongType()),
@@ -249,11 +252,31 @@ def round_trips(df: DataFrame, vocabulary: str, text: str = "text", keep: list[s
     ]
 
     def make(texts):
-        tokens, ids, decoded = [], [], []
-        for pieces in model(vocabulary).encode(texts):
-            tokens.append(sum(p[2] for p in pieces))
-            ids.append(sha256(b"".join(p[0] for p in pieces)).hexdigest())
-            decoded.append(sha256(" ".join(p[1] for p in pieces).encode()).hexdigest())
-        return [tokens, ids, decoded]
+        bpe, tokens, digests, decoded = model(vocabulary), [], [], []
+        for pieces in bpe.encode(texts):
+            row = b"".join(pieces)
+            ids = np.frombuffer(row, "<u4").tolist()
+            tokens.append(len(ids))
+            digests.append(sha256(row).hexdigest())
+            decoded.append(sha256(bpe.decoded(ids).encode()).hexdigest())
+        return [tokens, digests, decoded]
 
     return append_columns(df, text, fields, make, keep)
+
+
+def decoded(
+    df: DataFrame, vocabulary: str, ids: str = "ids", column: str = "decoded", keep: list[str] | None = None
+) -> DataFrame:
+    """Add the text that a column of token ids decodes to, special tokens included.
+
+    The vocabulary has no decoder of its own: a text is the tokens' symbols with spaces between,
+    in lower case and without the white space that encoding dropped. Null and empty ids give an
+    empty text; an id that the vocabulary does not have is left out, as by the library. ``column``
+    replaces a column of its name; repeated rows and any other columns stay as they are.
+    """
+
+    def make(rows):
+        bpe = model(vocabulary)
+        return [[bpe.decoded(row or []) for row in rows]]
+
+    return append_columns(df, ids, [StructField(column, StringType())], make, keep)

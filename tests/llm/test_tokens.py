@@ -7,9 +7,10 @@ import struct
 from hashlib import sha256
 
 import pytest
+from pyspark.sql import functions as F
 
 from recordlake.llm.token_counts import RankMerger, TokenCounter, token_counts
-from recordlake.llm.word_bpe import WordBpe, encoded, round_trips
+from recordlake.llm.word_bpe import WordBpe, decoded, encoded, round_trips
 
 tokenizers = pytest.importorskip("tokenizers")
 
@@ -54,10 +55,8 @@ def test_word_bpe_encodes_and_decodes_as_the_library(vocabulary):
     for text, pieces, wanted in zip(
         texts, WordBpe(path).encode(texts), library.encode_batch(texts, add_special_tokens=False)
     ):
-        ids = b"".join(p[0] for p in pieces)
+        ids = b"".join(pieces)
         assert list(struct.unpack(f"<{len(ids) // 4}I", ids)) == wanted.ids, ascii(text)
-        decoded = " ".join(p[1] for p in pieces)
-        assert decoded == library.decode(wanted.ids, skip_special_tokens=False), ascii(text)
 
 
 def test_one_tree_and_many_trees_merge_alike(vocabulary):
@@ -100,6 +99,38 @@ def test_token_counts_of_a_table(documents, vocabulary):
     assert token_counts(df.limit(0), vocabulary("byte_bpe_50k.json")).count() == 0
 
 
+def test_ids_decode_as_by_the_library(spark, documents, vocabulary):
+    path = vocabulary("word_bpe_49k.json")
+    library = tokenizers.Tokenizer.from_file(path)
+    library.no_truncation()
+    texts = samples()
+    df = documents(list(enumerate(texts))).withColumns({"a.b": F.lit(1), "decoded": F.lit("old")})
+    found = decoded(encoded(df, path), path)
+    assert sorted(found.columns) == sorted([*df.columns, "n_tokens", "ids"])
+    for row in found.collect():
+        wanted = library.encode(texts[row["doc_id"]], add_special_tokens=False).ids
+        assert row["ids"] == wanted
+        assert row["decoded"] == library.decode(wanted, skip_special_tokens=False)
+    odd = spark.createDataFrame([(1, None), (2, []), (3, [320, 10**6, 320])], "k int, ids array<int>")
+    texts = {r["k"]: r["decoded"] for r in decoded(odd, path).collect()}
+    assert texts == {1: "", 2: "", 3: library.decode([320, 10**6, 320], skip_special_tokens=False)}
+    assert decoded(odd.limit(0), path).count() == 0
+
+
+def test_round_trips_of_a_whole_table(spark, vocabulary):
+    path = vocabulary("word_bpe_49k.json")
+    library = tokenizers.Tokenizer.from_file(path)
+    library.no_truncation()
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    digests = {r["doc_id"]: r for r in round_trips(df, path, keep=["doc_id"]).collect()}
+    for row in decoded(encoded(df, path), path).collect():
+        ids = library.encode(row["text"] or "", add_special_tokens=False).ids
+        text = library.decode(ids, skip_special_tokens=False)
+        assert row["decoded"] == text
+        assert digests[row["doc_id"]]["decoded_sha256"] == sha256(text.encode()).hexdigest()
+        assert digests[row["doc_id"]]["ids_sha256"] == sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
+
+
 def test_round_trips_of_a_table(documents, vocabulary):
     df = documents([(1, "Hello, World"), (2, None), (2, None)])
     found = round_trips(df, vocabulary("word_bpe_49k.json"), keep=["doc_id"]).orderBy("doc_id").collect()
