@@ -1,7 +1,8 @@
 """From raw documents to token ids: five stages, each over all that the one before kept.
 
-SQL cannot express a trained network or fingerprints, so ORACLE_SQL is None; tests compare every
-stage with a brute-force version.
+SQL cannot express a trained network or fingerprints, so ORACLE_SQL is None; tests compare near
+duplicates, decontamination and tokens with brute force, language with the labels, and secrets with
+the patterns and a plain sum of the models' scores.
 """
 
 from __future__ import annotations
@@ -21,8 +22,8 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates_removed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, similarity of 0.8 or more."""
-    return simhash.one_of_each(docs)
+    """One document of each group whose fingerprints of four-word shingles link at four bits."""
+    return simhash.one_of_each(docs, shingle=4, max_bits=4)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,8 +37,10 @@ def secrets_removed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document."""
-    return word_bpe.encoded(docs, vocabulary("word_bpe_49k.json"), keep=["doc_id", "lang", "source"])
+    """Token ids of every document, and the text that they decode to."""
+    path = vocabulary("word_bpe_49k.json")
+    ids = word_bpe.encoded(docs, path, keep=["doc_id", "lang", "source"])
+    return word_bpe.decoded(ids, path)
 
 
 STAGES = [
