@@ -64,7 +64,7 @@ def lake_checks(
 
     ``column_counts`` gives the columns that the input files of each partition had (see
     :func:`recordlake.sources.column_counts`), a row per partition, which is broadcast: they
-    are counted in place of the frame's, and a partition without a row fails. The frame itself
+    are counted in place of the frame's, and a partition with records but without a row fails. The frame itself
     has the same columns for all partitions, whatever the files held.
     """
     stats = df.groupBy(*cols(partition_by)).agg(
@@ -98,7 +98,8 @@ def lake_checks(
             F.col(f"told.{quoted(n)}").eqNullSafe(F.col(f"stats.{quoted(n)}")) for n in partition_by
         ]
         stats = stats.alias("stats").join(told, same, "left").select("stats.*", "told.n_columns")
-        n_columns = F.col("n_columns")
+        nothing_read = F.when(F.col("n_rows") == 0, n_columns)
+        n_columns = F.coalesce(F.col("n_columns"), nothing_read)
     subject = partition_name(partition_by)
     n_rows = F.col("n_rows")
     wanted_rows = F.greatest(n_rows, F.lit(1))
