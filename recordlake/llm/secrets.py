@@ -6,6 +6,7 @@ import re
 from collections.abc import Callable
 from dataclasses import dataclass
 from hashlib import sha256
+from itertools import accumulate
 
 import numpy as np
 import xxhash
@@ -82,19 +83,38 @@ class MarkovModels:
     def segments(self, strings: list[str]) -> list[list[tuple[int, int]]]:
         """For each string its segments (start, end) that are more likely random than ordinary.
 
-        They are the segments of greatest sum (see :func:`greatest_segments`) that are long enough
-        and beyond the threshold.
+        They are the segments of greatest sum (see :func:`greatest_segments`) beyond the threshold.
+        One that is too short is widened to the best :data:`LEAST` characters around it; what
+        overlaps then is one segment.
         """
         steps, starts = self.steps(strings)
         hopeful = np.add.reduceat(np.maximum(steps, 0), starts) > self.threshold
         found: list[list[tuple[int, int]]] = [[] for _ in strings]
         ends = np.r_[starts[1:], len(steps)]
         for k in np.flatnonzero(hopeful).tolist():
-            sums = greatest_segments(steps[starts[k] : ends[k]].tolist())
-            found[k] = [(a, b) for a, b, total in sums if b - a >= LEAST and total > self.threshold]
+            own = steps[starts[k] : ends[k]].tolist()
+            before = [0.0, *accumulate(own)]
+            for a, b, _ in greatest_segments(own):
+                a, b = widened(a, b, before)
+                if b - a < LEAST or before[b] - before[a] <= self.threshold:
+                    continue
+                while found[k] and a < found[k][-1][1]:
+                    x, y = found[k].pop()
+                    a, b = min(a, x), max(b, y)
+                found[k].append((a, b))
         return found
 
 
+def widened(start: int, end: int, before: list[float]) -> tuple[int, int]:
+    """A segment of :data:`LEAST` characters or more: itself, or the best that holds it."""
+    n = len(before) - 1
+    if end - start >= LEAST or n < LEAST:
+        return start, end
+    starts = range(max(0, end - LEAST), min(start, n - LEAST) + 1)
+    best = max(starts, key=lambda s: (before[s + LEAST] - before[s], -s))
+    return best, best + LEAST
+
+
 def greatest_segments(steps: list[float]) -> list[tuple[int, int, float]]:
     """All disjoint segments of greatest sum, from left to right, in one pass: start, end, sum.
 
