@@ -60,19 +60,23 @@ def append_columns(
     )
     types = [pa_type(field) for field in fields]
 
+    # A text that stays is sent once, at its own place.
+    stays = isinstance(text, str) and text in kept
+    at = kept.index(text) if stays else 0
+
     def run(batches):
         for batch in batches:
-            for step in steps(batch):
-                made = make(step.column(0).to_pylist())
+            for step in steps(batch, at):
+                made = make(step.column(at).to_pylist())
                 arrays = [pa.array(values, type=t) for values, t in zip(made, types)]
-                yield pa.RecordBatch.from_arrays(step.columns[1:] + arrays, names=places + made_places)
+                columns = step.columns if stays else step.columns[1:]
+                yield pa.RecordBatch.from_arrays(columns + arrays, names=places + made_places)
 
-    source = df.select(
-        (df[quoted(text)] if isinstance(text, str) else text).alias("text"),
-        *[column.alias(place) for column, place in zip(cols(kept), places)],
-    )
+    source = [column.alias(place) for column, place in zip(cols(kept), places)]
+    if not stays:
+        source.insert(0, (df[quoted(text)] if isinstance(text, str) else text).alias("text"))
     renamed = [F.col(place).alias(name) for place, name in zip(places + made_places, kept + new)]
-    return source.mapInArrow(run, schema).select(*renamed)
+    return df.select(*source).mapInArrow(run, schema).select(*renamed)
 
 
 def pa_type(field: StructField) -> pa.DataType:

@@ -222,19 +222,28 @@ def model(path: str) -> WordBpe:
     return WordBpe(path)
 
 
-def encoded(df: DataFrame, vocabulary: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+def encoded(
+    df: DataFrame, vocabulary: str, text: str = "text", keep: list[str] | None = None, with_decoded: bool = False
+) -> DataFrame:
     """Add the token ids of every text (``ids``) and their number (``n_tokens``).
 
+    ``with_decoded`` also adds what the ids decode to (``decoded``), as :func:`decoded` does from
+    a column of ids, by the same worker and vocabulary.
+
     ``vocabulary`` is the path of a word-end BPE file, the same on every executor. A null text
     counts as empty: no ids. Repeated rows are encoded each, an empty table stays empty, and a
     column with a new column's name is replaced. Texts of any length are encoded whole; a worker
     remembers a bounded number of pieces.
     """
     fields = [StructField("n_tokens", LongType()), StructField("ids", ArrayType(IntegerType(), False))]
+    if with_decoded:
+        fields.append(StructField("decoded", StringType()))
 
     def make(texts):
-        rows = list(map(b"".join, model(vocabulary).encode(texts)))
-        return [[len(r) // 4 for r in rows], [np.frombuffer(r, "<u4").astype("i4") for r in rows]]
+        bpe = model(vocabulary)
+        ids = [np.frombuffer(b"".join(pieces), "<u4").astype("i4") for pieces in bpe.encode(texts)]
+        made = [[len(row) for row in ids], ids]
+        return [*made, [bpe.decoded(row.tolist()) for row in ids]] if with_decoded else made
 
     return append_columns(df, text, fields, make, keep)
 

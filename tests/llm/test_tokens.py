@@ -111,6 +111,9 @@ def test_ids_decode_as_by_the_library(spark, documents, vocabulary):
         wanted = library.encode(texts[row["doc_id"]], add_special_tokens=False).ids
         assert row["ids"] == wanted
         assert row["decoded"] == library.decode(wanted, skip_special_tokens=False)
+    at_once = encoded(df, path, keep=["doc_id"], with_decoded=True).collect()
+    wanted = {r["doc_id"]: (r["n_tokens"], r["ids"], r["decoded"]) for r in found.collect()}
+    assert {r["doc_id"]: (r["n_tokens"], r["ids"], r["decoded"]) for r in at_once} == wanted
     odd = spark.createDataFrame([(1, None), (2, []), (3, [320, 10**6, 320])], "k int, ids array<int>")
     texts = {r["k"]: r["decoded"] for r in decoded(odd, path).collect()}
     assert texts == {1: "", 2: "", 3: library.decode([320, 10**6, 320], skip_special_tokens=False)}
