@@ -39,8 +39,7 @@ def secrets_removed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, and the text that they decode to."""
     path = vocabulary("word_bpe_49k.json")
-    ids = word_bpe.encoded(docs, path, keep=["doc_id", "lang", "source"])
-    return word_bpe.decoded(ids, path)
+    return word_bpe.encoded(docs, path, keep=["doc_id", "lang", "source"], with_decoded=True)
 
 
 STAGES = [
