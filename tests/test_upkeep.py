@@ -34,6 +34,7 @@ from recordlake.operators import (
 from recordlake.plans import build_enriched_lake, enriched_backfill_plan, heal_enriched_lake, visits
 from recordlake.sources import read_lake, write_lake
 from tests.helpers import plan, row_set, rows
+from workload import lakes, upkeep
 
 
 def states(plan_frame):
@@ -232,3 +233,27 @@ def test_records_are_judged_once(spark, out):
         write_judged(df.withColumn("verdict", F.lit(1)), rules, out + "2")
     with pytest.raises(ValueError, match="rule"):
         write_judged(df, {}, out + "3")
+
+
+@pytest.mark.parametrize(
+    "module, name", [(lakes, "rebuild_one_month")]
+)
+def test_monthly_files_come_from_one_pass_over_the_records(spark, monkeypatch, module, name):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(month):
+        seen.add(1)
+        return None if month == 13 else float(month)
+
+    records = raw_records(spark, [*range(1, 13), 13], 4).select(
+        *[counted(c).alias(c) if c == "i94mon" else F.col(c).cast(t).alias(c) for c, t in visits.RAW_COLUMNS]
+    )
+    monkeypatch.setattr(module, "visit_records", lambda *_: records)
+    found = getattr(module, name)(spark, "").collect()
+    assert seen.value == 13 * 4
+    if name == "manifest_column_count":
+        assert {r["subject"] for r in found if not r["passed"]} == {"i94yr=2016/i94mon=5"}
+        assert [r["observed"] for r in found if r["check"] == "not_empty"] == [4] * 12
+    else:
+        assert {r["i94mon"]: r["records"] for r in found} == {m: 8 if m == 2 else 4 for m in range(1, 13)}

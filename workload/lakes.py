@@ -221,6 +221,22 @@ def ingest_uneven_files(spark, sf_dir):
     )
 
 
+def months_of_all_years(records) -> dict:
+    """The records of each month by its name, all years taken as 2016.
+
+    The records are derived once and stored by month: a month is read from its directory.
+    """
+    spark, path = records.sparkSession, scratch_path(records.sparkSession, "by-month")
+    records = records.withColumn("i94yr", F.lit(2016.0))
+    keyed = records.withColumn("file_month", F.col("i94mon").cast("int"))
+    write_lake(keyed, path, ["file_month"])
+    stored = spark.read.schema(keyed.schema).parquet(path)
+    return {
+        name: stored.where(F.col("file_month") == number).drop("file_month")
+        for number, name in enumerate(visits.MONTH_NAMES, start=1)
+    }
+
+
 @query(f"""WITH {VISITS}
 SELECT CAST(2016 AS INTEGER) AS i94yr, CAST(i94mon AS INTEGER) AS i94mon,
        count(*) * CASE WHEN i94mon = 2 THEN 2 ELSE 1 END AS records
@@ -228,13 +244,11 @@ FROM visits GROUP BY i94mon""")
 def rebuild_one_month(spark, sf_dir):
     """Twelve monthly files, all years taken as one; then February alone, with its rows twice."""
     base, out = scratch_path(spark, "monthly"), scratch_path(spark, "ingested")
-    records = visit_records(spark, sf_dir).withColumn("i94yr", F.lit(2016.0))
-    for number, name in enumerate(visits.MONTH_NAMES, start=1):
-        month = records.where(F.col("i94mon") == number)
+    months = months_of_all_years(visit_records(spark, sf_dir))
+    for name, month in months.items():
         month.write.parquet(f"{base}/i94_{name}16_sub.parquet")
     build_raw_lake(spark, base, out, ["16"])
-    february = records.where("i94mon = 2")
-    february.write.mode("append").parquet(f"{base}/i94_feb16_sub.parquet")
+    months["feb"].write.mode("append").parquet(f"{base}/i94_feb16_sub.parquet")
     build_raw_lake(spark, base, out, ["16"], ["feb"])
     return key_counts(read_lake(spark, out), visits.PARTITION_BY)
 
