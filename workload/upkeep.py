@@ -33,7 +33,7 @@ from recordlake.plans import (
 )
 from recordlake.scratch import scratch_path
 from recordlake.sources import read_lake, read_manifest, replace_partitions, write_lake
-from workload.lakes import enriched_lake, shared
+from workload.lakes import enriched_lake, months_of_all_years, shared
 from workload.profiles import _PROFILED, profile_sql
 from workload.registry import query
 from workload.sql import DATED, VISITS, enriched
@@ -43,9 +43,7 @@ from workload.tables import code_tables, dated_orders, table, visit_records
 def _monthly_files(spark, sf_dir) -> str:
     """Twelve monthly files, all years taken as one; that of May has no ``occup`` column."""
     base = scratch_path(spark, "monthly")
-    records = visit_records(spark, sf_dir).withColumn("i94yr", F.lit(2016.0))
-    for number, name in enumerate(visits.MONTH_NAMES, start=1):
-        month = records.where(F.col("i94mon") == number)
+    for name, month in months_of_all_years(visit_records(spark, sf_dir)).items():
         if name == "may":
             month = month.drop("occup")
         month.write.parquet(f"{base}/i94_{name}16_sub.parquet")
