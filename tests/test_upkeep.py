@@ -236,7 +236,7 @@ def test_records_are_judged_once(spark, out):
 
 
 @pytest.mark.parametrize(
-    "module, name", [(lakes, "rebuild_one_month"), (upkeep, "manifest_after_a_rebuild")]
+    "module, name", [(lakes, "rebuild_one_month"), (upkeep, "manifest_column_count"), (upkeep, "manifest_after_a_rebuild")]
 )
 def test_monthly_files_come_from_one_pass_over_the_records(spark, monkeypatch, module, name):
     seen = spark.sparkContext.accumulator(0)
