@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,9 @@ from recordlake.sources.readers import CSV_LAYOUT, read_lake
 
 WRITE_MODES = ("errorifexists", "append", "overwrite", "replace_partitions")
 _PLAIN_VALUE = re.compile(r"[\w.\-]+")
+# Partitions whose files a task keeps open together; rows of further ones are sorted first.
+_OPEN_PARTITIONS = 32
+_OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
 
 
 def whole_partition_values(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -52,6 +56,10 @@ def write_lake(
     for input that is not laid out by partition already: it gathers the rows of
     a partition into few files, and adaptive execution splits the partitions
     that are too big for one task.
+
+    A task keeps the files of a few partitions open instead of sorting its rows by
+    partition, so it does not hold its input in memory. A session that sets
+    ``spark.sql.maxConcurrentOutputFileWriters`` decides how many.
     """
     if mode not in WRITE_MODES:
         raise ValueError(f"mode must be one of {WRITE_MODES}, not {mode!r}")
@@ -70,7 +78,21 @@ def write_lake(
         writer = writer.partitionBy(*partition_by)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
-    writer.parquet(path)
+    with _unsorted_writes(df.sparkSession):
+        writer.parquet(path)
+
+
+@contextmanager
+def _unsorted_writes(spark: SparkSession) -> Iterator[None]:
+    """Within it partitioned writes keep files open; Spark has no such option for one write."""
+    if int(spark.conf.get(_OPEN_FILES, "0")):
+        yield
+        return
+    spark.conf.set(_OPEN_FILES, _OPEN_PARTITIONS)
+    try:
+        yield
+    finally:
+        spark.conf.unset(_OPEN_FILES)
 
 
 def _first_files(spark: SparkSession, path: str, partitions: list[dict]) -> dict[tuple, str]:

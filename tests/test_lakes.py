@@ -4,6 +4,7 @@ import os
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrameWriter
 
 from recordlake.scratch import scratch_path
 from recordlake.sources import (
@@ -130,6 +131,29 @@ def test_rebalanced_write_splits_a_large_partition(spark, settings, out):
     assert read_lake(spark, out).count() == 300000
 
 
+def test_partitioned_write_does_not_hold_its_input_in_a_sort(spark, settings, monkeypatch, out):
+    key, seen = "spark.sql.maxConcurrentOutputFileWriters", []
+    parquet = DataFrameWriter.parquet
+
+    def watched(writer, path, *args, **kwargs):
+        seen.append(int(spark.conf.get(key, "0")))
+        return parquet(writer, path, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", watched)
+    # One task, partitions in turn, also more of them than it keeps open.
+    mixed = spark.range(0, 500, 1, 1).selectExpr("cast(id % 50 as int) as k", "id", "nullif(id % 7, 3) as n")
+    write_lake(mixed, out, ["k", "n"])
+    write_lake(mixed, out + "-again", ["k", "n"])
+    write_lake(mixed, out + "-again", ["k", "n"], "replace_partitions")
+    assert seen == [32] * 3 and spark.conf.get(key, "0") == "0"
+    for path in (out, out + "-again"):
+        assert row_set(read_lake(spark, path).select("k", "id", "n")) == row_set(mixed)
+    settings(key, "4")
+    with pytest.raises(AnalysisException):
+        write_lake(mixed, out, ["k", "n"])
+    assert seen[-1] == 4 and spark.conf.get(key) == "4"
+
+
 def test_read_files_with_different_columns(spark, tmp_path):
     a, b = str(tmp_path / "a"), str(tmp_path / "b")
     spark.sql("select 1 as x, 'p' as y").write.parquet(a)
