@@ -28,12 +28,16 @@ def partition_digests(df: DataFrame, partition_by: Sequence[str], columns: Seque
     """
     values = [_comparable(df, c) for c in columns]
     nulls = [v.isNull() for v in values]
-    hashes = [
-        F.xxhash64(F.lit(seed), *values, *nulls).cast("decimal(38,0)") for seed in (0, 1)
+    hashes = [F.xxhash64(F.lit(seed), *values, *nulls) for seed in (0, 1)]
+    # 22 bits at a time: sums of whole hashes could overflow, these only beyond 2^41 records.
+    parts = [
+        F.shiftrightunsigned(h, shift).bitwiseAND(F.lit((1 << 22) - 1).cast("bigint"))
+        for h in hashes
+        for shift in (0, 22, 44)
     ]
     return df.groupBy(*cols(partition_by)).agg(
         F.count("*").alias("records"),
-        F.struct(*[F.sum(h).alias(f"sum_{i}") for i, h in enumerate(hashes)]).alias("digest"),
+        F.struct(*[F.sum(p).alias(f"sum_{i}") for i, p in enumerate(parts)]).alias("digest"),
     )
 
 

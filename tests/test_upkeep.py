@@ -31,6 +31,7 @@ from recordlake.operators import (
     to_rebuild,
     write_judged,
 )
+from recordlake.operators.backfill import partition_digests
 from recordlake.plans import build_enriched_lake, enriched_backfill_plan, heal_enriched_lake, visits
 from recordlake.sources import read_lake, write_lake
 from tests.helpers import plan, row_set, rows
@@ -257,3 +258,30 @@ def test_monthly_files_come_from_one_pass_over_the_records(spark, monkeypatch, m
         assert [r["observed"] for r in found if r["check"] == "not_empty"] == [4] * 12
     else:
         assert {r["i94mon"]: r["records"] for r in found} == {m: 8 if m == 2 else 4 for m in range(1, 13)}
+
+
+def test_lake_is_damaged_in_place_and_healed(spark, monkeypatch, tmp_path):
+    raw = str(tmp_path / "raw")
+    write_lake(raw_records(spark, [1, 2, 3, 4, 5, 6, 9], 6).withColumn("i94yr", F.lit(1998)), raw, visits.PARTITION_BY)
+    names = {table for _, table, _ in visits.LABELLED_CODES}
+    tables = {name: spark.createDataFrame([("1", "one")], "key string, value string") for name in names}
+    copied = []
+    monkeypatch.setattr(upkeep, "shared", lambda *_: raw)
+    monkeypatch.setattr(upkeep, "code_tables", lambda *_: tables)
+    monkeypatch.setattr(upkeep, "write_lake", lambda df, *args: (copied.append(df.count()), write_lake(df, *args)))
+    found = states(upkeep.backfill_states_by_values(spark, "").withColumnsRenamed({"i94yr": "y", "i94mon": "m"}))
+    assert {k: v[2] for k, v in found.items()} == {
+        (1998, 1): "complete", (1998, 2): "missing", (1998, 3): "short", (1998, 4): "stale",
+        (1998, 5): "surplus", (1998, 6): "stale", (1998, 9): "complete", (1990, 1): "orphaned",
+    }
+    assert copied == [5 * 6]
+    lake = upkeep.backfilled_enriched_lake(spark, "")
+    assert row_set(lake.select("i94yr", "i94mon", "cicid")) == row_set(read_lake(spark, raw).select("i94yr", "i94mon", "cicid"))
+
+
+def test_digests_are_sums_of_whole_numbers(spark):
+    frame = spark.range(1000).selectExpr("id % 3 as p", "nullif(id % 10, 4) as v")
+    digests = partition_digests(frame, ["p"], ["v"])
+    assert "decimal" not in digests.schema.simpleString()
+    reverse = partition_digests(frame.orderBy(F.desc("v")).repartition(7), ["p"], ["v"])
+    assert row_set(digests) == row_set(reverse)

@@ -25,6 +25,7 @@ from recordlake.operators import (
 from recordlake.operators.quality import distinct_with_null
 from recordlake.plans import (
     CARRIED_COLUMNS,
+    build_enriched_lake,
     build_raw_lake,
     enriched_backfill_plan,
     heal_enriched_lake,
@@ -33,7 +34,7 @@ from recordlake.plans import (
 )
 from recordlake.scratch import scratch_path
 from recordlake.sources import read_lake, read_manifest, replace_partitions, write_lake
-from workload.lakes import enriched_lake, months_of_all_years, shared
+from workload.lakes import months_of_all_years, raw_lake, shared
 from workload.profiles import _PROFILED, profile_sql
 from workload.registry import query
 from workload.sql import DATED, VISITS, enriched
@@ -112,9 +113,12 @@ def ingest_csv_by_header(spark, sf_dir):
 
 def damaged_lake(spark, sf_dir) -> tuple[str, str]:
     """A raw lake, and an enriched one in which some months of 1998 and one of 1990 are wrong."""
-    raw, whole = shared(enriched_lake, spark, sf_dir)
-    out, lake = scratch_path(spark, "damaged"), read_lake(spark, whole)
-    write_lake(lake, out, visits.PARTITION_BY)
+    raw, out = shared(raw_lake, spark, sf_dir), scratch_path(spark, "damaged")
+    build_enriched_lake(spark, raw, code_tables(spark, sf_dir), out)
+    kept = scratch_path(spark, "kept")
+    months = read_lake(spark, out).where("i94yr = 1998 and i94mon between 2 and 6")
+    write_lake(months, kept, visits.PARTITION_BY)
+    lake = spark.read.schema(months.schema).parquet(kept)
 
     def replace(year, month, rows):
         one = {"i94yr": year, "i94mon": month}
