@@ -108,18 +108,21 @@ def compressed(ids: np.ndarray, min_pairs: int = MIN_PAIRS) -> Grammar:
     a pair.
     """
     alphabet = np.flatnonzero(np.bincount(ids))
-    numbers = np.zeros(int(alphabet[-1]) + 1 if len(alphabet) else 0, np.int64)
+    numbers = np.zeros(int(alphabet[-1]) + 1 if len(alphabet) else 0, np.uint32)
     numbers[alphabet] = np.arange(len(alphabet))
     symbols = numbers[ids]
-    size, rules, mask = len(alphabet), [], (1 << HASH_BITS) - 1
+    size, rules, mask = len(alphabet), [], np.uint32((1 << HASH_BITS) - 1)
     while len(symbols) > 1:
-        hashed = (symbols[:-1] * MIX + symbols[1:]) & mask
+        hashed = symbols[:-1] * np.uint32(MIX)
+        hashed += symbols[1:]
+        hashed &= mask
+        hashed = hashed.astype(np.intp)
         buckets = np.bincount(hashed)
         often, bound = [], int(buckets.max())
         while not len(often) and bound >= min_pairs:
             bound = max(min_pairs, (bound + 3) // 4)
             places = np.flatnonzero((buckets >= bound)[hashed])
-            keys = symbols[places] * size + symbols[places + 1]
+            keys = symbols[places].astype(np.int64) * size + symbols[places + 1]
             ordered = np.sort(keys)
             first = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
             counts = np.diff(np.r_[first, len(ordered)])
@@ -151,7 +154,7 @@ def compressed(ids: np.ndarray, min_pairs: int = MIN_PAIRS) -> Grammar:
     for a, b in rules:
         lengths.append(lengths[a] + lengths[b])
     pairs = np.array(rules, np.int64).reshape(-1, 2)
-    return Grammar(alphabet.astype("<u4"), pairs, np.array(lengths, np.int64), symbols)
+    return Grammar(alphabet.astype("<u4"), pairs, np.array(lengths, np.int64), symbols.astype(np.int64))
 
 
 def packed(numbers: np.ndarray) -> bytes:
